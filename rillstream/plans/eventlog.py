@@ -162,7 +162,7 @@ def union_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.'
-  || lpad(CAST(epoch_ms(ts) % 1000 AS VARCHAR), 3, '0') || 'Z' AS iso_time FROM events""")
+  || lpad(CAST((epoch_us(ts) // 1000) % 1000 AS VARCHAR), 3, '0') || 'Z' AS iso_time FROM events""")
 def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.table(spark, sf_dir, "events").select(
         "event_id", iso_millis(F.unix_millis(F.col("ts").cast("timestamp"))).alias("iso_time"))

@@ -120,7 +120,7 @@ CHANGES = """(SELECT CAST(user_id AS VARCHAR) AS id,
   CASE WHEN event_type = 'error' THEN 'd' WHEN live THEN 'u' ELSE 'c' END AS op,
   CASE WHEN live THEN pv END AS before_value,
   CASE WHEN event_type <> 'error' THEN value END AS after_value,
-  event_id AS pos, epoch_ms(ts) AS ts_ms
+  event_id AS pos, (epoch_us(ts) // 1000) AS ts_ms
   FROM (SELECT *, lag(value) OVER w AS pv,
           coalesce(lag(event_type) OVER w <> 'error', false) AS live
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))

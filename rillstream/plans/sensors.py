@@ -55,7 +55,7 @@ def event_time_average_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "sensor_id", "value")
 
 
-@query("""SELECT epoch_ms(ts) AS "timestamp", CAST(user_id AS INTEGER) AS sensor_id,
+@query("""SELECT (epoch_us(ts) // 1000) AS "timestamp", CAST(user_id AS INTEGER) AS sensor_id,
   event_type AS location, CAST(value AS FLOAT) AS temp FROM events""")
 def parsed_sensor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.table(spark, sf_dir, "events").select(sensor_line(
