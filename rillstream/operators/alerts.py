@@ -45,7 +45,9 @@ def _machine(code: str) -> Fold:
         effect=lambda row: F.when(row[code].between(1, 7),
                                   F.get(_moves(), row[code].cast("int") - 1)).otherwise(reset),
         compose=lambda f, g: F.transform(f, lambda s: F.get(g, s)),
-        apply=lambda f, s: F.get(f, s))
+        apply=lambda f, s: F.get(f, s),
+        advance=lambda row, s: F.coalesce(
+            F.get(F.get(_moves(), row[code].cast("int") - 1), s), F.lit(INITIAL)))
 
 
 def anomaly_alerts(events: DataFrame, key: str = "source_address", code: str = "event",

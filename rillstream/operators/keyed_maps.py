@@ -50,6 +50,19 @@ def _row_effect(row: Column) -> Column:
         .otherwise(same))
 
 
+def _next_value(row: Column, current: Column) -> Column:
+    """Value of a key after one update."""
+    op, value = row["op"], row["value"]
+    matches = current == row["expected"]
+    return (F.when(op == "put", value)
+            .when(op == "putIfAbsent", F.coalesce(current, value))
+            .when(op.isin("remove", "clear"), F.lit(None).cast("string"))
+            .when(op == "replace", F.when(current.isNotNull(), value))
+            .when((op == "removeIf") & matches, F.lit(None).cast("string"))
+            .when((op == "replaceIf") & matches, value)
+            .otherwise(current))
+
+
 def _compose(first: Column, second: Column) -> Column:
     unchanged = first["unchanged"] & second["unchanged"]
     other = F.when(first["unchanged"], second["other"]).otherwise(_act(second, first["other"]))
@@ -63,15 +76,17 @@ def _compose(first: Column, second: Column) -> Column:
 def _fold() -> Fold:
     none = F.lit(None).cast("string")
     return Fold(initial=lambda: none, identity=lambda: _effect(none, True, none),
-                effect=_row_effect, compose=_compose, apply=_act)
+                effect=_row_effect, compose=_compose, apply=_act, advance=_next_value)
 
 
 def put_all(updates: DataFrame, entries: str = "entries") -> DataFrame:
     """Rows of op putAll become one put per map entry, under the same revision."""
-    rest = [c for c in updates.columns if c not in ("key", "value", entries)]
-    many = (updates.where("op = 'putAll'").select(*rest, F.explode(entries))
-            .withColumn("op", F.lit("put")))
-    return updates.where("op <> 'putAll'").drop(entries).unionByName(many)
+    many = F.col("op") == "putAll"
+    own = F.array(F.struct("key", "value"))
+    rest = [c for c in updates.columns if c not in ("op", "key", "value", entries)]
+    return updates.select(
+        *rest, F.when(many, "put").otherwise(F.col("op")).alias("op"),
+        F.inline(F.when(many, F.map_entries(entries)).otherwise(own)))
 
 
 def replay(updates: DataFrame) -> DataFrame:

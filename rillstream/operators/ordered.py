@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 CHUNK_WIDTH = 4096      # most rows folded in one array
 CHUNK_FAN = 1024        # chunks put together per second-level group
 INDEX_WIDTH = 1 << 18   # positions per task in a plain running sum
@@ -42,20 +44,25 @@ class Fold:
     effect: Callable[[Column], Column]               # row struct -> function
     compose: Callable[[Column, Column], Column]      # first, second -> function
     apply: Callable[[Column, Column], Column]        # function, state -> state
+    advance: Callable[[Column, Column], Column] | None = None   # row struct, state -> state
+
+    def next_state(self, row: Column, state: Column) -> Column:
+        """State after one row; ``advance`` is a shorter form of applying the row's effect."""
+        if self.advance is not None:
+            return self.advance(row, state)
+        return self.apply(self.effect(row), state)
 
 
-def running_fold(items: Column, start: Column, fold: Fold, function: Callable[[Column], Column],
-                 keep: Callable[[Column, Column, Column], Column]) -> Column:
-    """Walk over an array and keep ``keep(item, before, after)`` for each item."""
+def states_before(items: Column, start: Column,
+                  advance: Callable[[Column, Column], Column]) -> Column:
+    """State in front of each item of an array; ``advance(item, state)`` gives the next one."""
 
     def step(acc: Column, item: Column) -> Column:
-        after = fold.apply(function(item), acc["state"])
-        return F.struct(after.alias("state"),
-                        F.concat(acc["out"], F.array(keep(item, acc["state"], after))).alias("out"))
+        return F.struct(advance(item, acc["state"]).alias("state"),
+                        F.concat(acc["seen"], F.array(acc["state"])).alias("seen"))
 
-    sample = keep(F.element_at(items, 1), start, start)
-    empty = F.slice(F.array(sample), 1, 0)
-    return F.aggregate(items, F.struct(start.alias("state"), empty.alias("out")), step)["out"]
+    none_yet = F.slice(F.array(start), 1, 0)
+    return F.aggregate(items, F.struct(start.alias("state"), none_yet.alias("seen")), step)["seen"]
 
 
 def _sorted_by(items: Column, field: str) -> Column:
@@ -64,38 +71,35 @@ def _sorted_by(items: Column, field: str) -> Column:
                         .when(a[field] > b[field], 1).otherwise(0))
 
 
-def chunk_starts(functions: DataFrame, keys: Sequence[str], fold: Fold, *,
-                 fan: int = CHUNK_FAN) -> DataFrame:
+def chunk_starts(functions: DataFrame, fold: Fold, *, fan: int = CHUNK_FAN) -> DataFrame:
     """State at the start of every chunk.
 
-    ``functions`` has the key columns, ``chunk`` (long) and ``fn``; the result has
-    the key columns, ``chunk`` and ``start``.
+    ``functions``: ``__key``, ``chunk`` (long), ``fn``. Result: ``__key``, ``chunk``, ``start``.
+    Chunks are put together in spans of ``fan``, so the last step per key handles one item
+    per span. The outer join keeps both uses of ``groups`` the same plan: one exchange.
     """
-    keys = list(keys)
     groups = (
         functions
-        .groupBy(*keys, block_of("chunk", fan).alias("span"))
+        .groupBy("__key", block_of("chunk", fan).alias("span"))
         .agg(_sorted_by(F.collect_list(F.struct("chunk", "fn")), "chunk").alias("chunks"))
         .withColumn("span_fn", F.aggregate(
             "chunks", fold.identity(), lambda acc, c: fold.compose(acc, c["fn"])))
     )
     spans = (
-        groups.groupBy(*keys)
+        groups.groupBy("__key")
         .agg(_sorted_by(F.collect_list(F.struct("span", F.col("span_fn").alias("fn"))), "span")
              .alias("spans"))
-        .select(*keys, F.explode(running_fold(
-            F.col("spans"), fold.initial(), fold, lambda s: s["fn"],
-            lambda s, before, _: F.struct(s["span"].alias("span"), before.alias("start"))))
-            .alias("s"))
-        .select(*keys, "s.span", "s.start")
+        .withColumn("seen", states_before(F.col("spans"), fold.initial(),
+                                          lambda s, state: fold.apply(s["fn"], state)))
+        .select("__key", F.inline(F.arrays_zip(F.col("spans.span").alias("span"),
+                                               F.col("seen").alias("start"))))
     )
     return (
-        groups.join(spans, keys + ["span"])
-        .select(*keys, F.explode(running_fold(
-            F.col("chunks"), F.col("start"), fold, lambda c: c["fn"],
-            lambda c, before, _: F.struct(c["chunk"].alias("chunk"), before.alias("start"))))
-            .alias("c"))
-        .select(*keys, "c.chunk", "c.start")
+        groups.join(spans, ["__key", "span"], "left")
+        .withColumn("seen", states_before(F.col("chunks"), F.col("start"),
+                                          lambda c, state: fold.apply(c["fn"], state)))
+        .select("__key", F.inline(F.arrays_zip(F.col("chunks.chunk").alias("chunk"),
+                                               F.col("seen").alias("start"))))
     )
 
 
@@ -105,40 +109,50 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], most_rows: int) -> DataFrame:
             .where(F.col("__rows") > most_rows).select(*keys, F.lit(True).alias("__heavy")))
 
 
+def _replayed(arrays: DataFrame, start: Column, fold: Fold, keys: Sequence[str],
+              columns: Sequence[str]) -> DataFrame:
+    """Rows of sorted arrays with the states around them."""
+    return (
+        arrays
+        .withColumn("seen", states_before(F.col("rows.row"), start, fold.next_state))
+        .select("__key", F.inline(F.arrays_zip(F.col("rows.row").alias("row"),
+                                               F.col("seen").alias("before"))))
+        .withColumn("after", fold.next_state(F.col("row"), F.col("before")))
+        .select(*[F.col(f"__key.{k}").alias(k) for k in keys], "row.*", "before", "after")
+        .select(*columns, "before", "after"))
+
+
 def keyed_scan(df: DataFrame, keys: Sequence[str], position: str, fold: Fold, *,
                width: int = CHUNK_WIDTH, fan: int = CHUNK_FAN) -> DataFrame:
     """Replay every key in ``position`` order.
 
     Returns the input columns plus ``before`` and ``after``: the state around each
-    row. Keys of up to ``width`` rows are folded as one array; larger keys are
-    cut into chunks of ``width`` positions.
+    row. Keys are counted first (a job over the key columns; only the keys with more than
+    ``width`` rows are kept, in the shared checkpoint folder). Without such keys each history
+    is folded as one array, in one shuffle. Heavy keys are cut into chunks of ``width`` positions.
     """
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
-    heavy = heavy_keys(df, keys, width)
+    shared_dir(df.sparkSession)
+    payload = F.struct(*[c for c in df.columns if c not in keys])
+    keyed = df.select(F.struct(*keys).alias("__key"), F.col(position).alias("__pos"),
+                      payload.alias("row"))
+    items = F.sort_array(F.collect_list(F.struct("__pos", "row"))).alias("rows")
+    heavy = heavy_keys(keyed, ["__key"], width).checkpoint()
+    if heavy.isEmpty():
+        return _replayed(keyed.groupBy("__key").agg(items), fold.initial(), fold, keys, df.columns)
     chunked = (
-        df.join(heavy, keys, "left")
-        .withColumn("chunk", F.when(F.col("__heavy"), block_of(position, width))
+        keyed.join(heavy, "__key", "left")
+        .withColumn("chunk", F.when(F.col("__heavy"), block_of("__pos", width))
                     .otherwise(F.lit(-1)).cast("long"))
-        .groupBy(*keys, "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct(
-            F.col(position).alias("__pos"), F.struct(*payload).alias("row")))).alias("rows"))
-    )
+        .groupBy("__key", "chunk").agg(items))
     functions = chunked.where("chunk >= 0").select(
-        *keys, "chunk",
+        "__key", "chunk",
         F.aggregate("rows", fold.identity(),
                     lambda acc, r: fold.compose(acc, fold.effect(r["row"]))).alias("fn"))
-    starts = chunk_starts(functions, keys, fold, fan=fan)
-    return (
-        chunked.join(starts.withColumn("__known", F.lit(True)), keys + ["chunk"], "left")
-        .withColumn("start", F.when(F.col("__known"), F.col("start")).otherwise(fold.initial()))
-        .select(*keys, F.explode(running_fold(
-            F.col("rows"), F.col("start"), fold, lambda r: fold.effect(r["row"]),
-            lambda r, before, after: F.struct(r["row"].alias("row"), before.alias("before"),
-                                              after.alias("after")))).alias("o"))
-        .select(*keys, "o.row.*", "o.before", "o.after")
-        .select(*df.columns, "before", "after")
-    )
+    starts = chunk_starts(functions, fold, fan=fan).withColumn("__known", F.lit(True))
+    placed = chunked.join(starts, ["__key", "chunk"], "left").withColumn(
+        "start", F.when(F.col("__known"), F.col("start")).otherwise(fold.initial()))
+    return _replayed(placed, F.col("start"), fold, keys, df.columns)
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], position: str, columns: Sequence[str], *,
@@ -175,23 +189,37 @@ def running_sum(df: DataFrame, weight: Column | str, position: str, name: str, *
     Works without bringing a partition into one task: totals per block of
     ``width`` positions, a prefix over the blocks, and a window inside each block.
     """
-    parts = list(partition_by)
-    weighted = (
-        df.withColumn("__w", (F.col(weight) if isinstance(weight, str) else weight).cast("long"))
-        .withColumn("chunk", block_of(position, width))
-        .withColumn("__all", F.lit(0)))
-    keys = parts or ["__all"]
-    totals = weighted.groupBy(*keys, "chunk").agg(F.sum("__w").alias("fn"))
-    starts = chunk_starts(totals, keys, _SUM, fan=fan)
-    inside = Window.partitionBy(*keys, "chunk").orderBy(position).rowsBetween(
+    weighted = df.select(
+        "*", (F.col(weight) if isinstance(weight, str) else weight).cast("long").alias("__w"),
+        F.struct(*(partition_by or [F.lit(0)])).alias("__key"),
+        block_of(position, width).alias("chunk"))
+    totals = weighted.groupBy("__key", "chunk").agg(F.sum("__w").alias("fn"))
+    starts = chunk_starts(totals, _SUM, fan=fan)
+    inside = Window.partitionBy("__key", "chunk").orderBy(position).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (
-        weighted.join(starts, keys + ["chunk"])
+        weighted.join(starts, ["__key", "chunk"], "left")
         .withColumn(name, F.col("start") + F.sum("__w").over(inside))
         .select(*df.columns, name)
     )
 
 
+def highest_before(df: DataFrame, value: str, position: str, name: str, *,
+                   width: int = INDEX_WIDTH) -> DataFrame:
+    """Highest ``value`` of all rows at lower positions (null for the first)."""
+    nothing = F.lit(None).cast(df.schema[value].dataType)
+    top = Fold(initial=lambda: nothing, identity=lambda: nothing, effect=lambda row: row[value],
+               compose=F.greatest, apply=F.greatest)
+    placed = df.select("*", F.struct(F.lit(0)).alias("__key"),
+                       block_of(position, width).alias("chunk"))
+    tops = placed.groupBy("__key", "chunk").agg(F.max(value).alias("fn"))
+    inside = Window.partitionBy("__key", "chunk").orderBy(position).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return (placed.join(chunk_starts(tops, top), ["__key", "chunk"], "left")
+            .withColumn(name, F.greatest("start", F.max(value).over(inside)))
+            .select(*df.columns, name))
+
+
 def dense_index(df: DataFrame, position: str, name: str, *, first: int = 0,
                 partition_by: Sequence[str] = (), width: int = INDEX_WIDTH) -> DataFrame:
     """Number the rows ``first, first+1, …`` in ``position`` order."""

@@ -96,8 +96,9 @@ def slice_sums(log: DataFrame, cuts: DataFrame, field: int = 2) -> DataFrame:
 
 def segment_counts(log: DataFrame) -> DataFrame:
     """Events per segment of each stream, and per stream (segment_id null)."""
-    return (log.rollup("stream", "segment_id").agg(F.count(F.lit(1)).alias("events"))
-            .where("stream is not null"))
+    per_segment = log.groupBy("stream", "segment_id").agg(F.count(F.lit(1)).alias("events"))
+    per_stream = per_segment.groupBy("stream").agg(F.sum("events").alias("events"))
+    return per_segment.unionByName(per_stream.withColumn("segment_id", F.lit(None).cast("int")))
 
 
 def _bookmark_fold(flag: str, position: str) -> Fold:
@@ -114,7 +115,8 @@ def _bookmark_fold(flag: str, position: str) -> Fold:
         compose=lambda f, g: F.when(g["closes"], g).otherwise(
             make(f["closes"], F.coalesce(f["pending"], g["pending"]))),
         apply=lambda f, s: F.when(f["closes"], f["pending"]).otherwise(
-            F.coalesce(s, f["pending"])))
+            F.coalesce(s, f["pending"])),
+        advance=lambda row, s: F.when(row[flag], F.coalesce(s, row[position].cast("bigint"))))
 
 
 def bookmark_slices(events: DataFrame, key: str, position: str, of_interest: Column, *,

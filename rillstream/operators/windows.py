@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import highest_before
+
 
 def _bounds(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     return df.select(*keys, F.col("w.start").alias("window_start"),
@@ -93,9 +95,8 @@ def late_rows(df: DataFrame, time: str, order: str, delay: str, size: str) -> Da
     ended at or before the highest time of the earlier batches minus ``delay``.
     """
     peaks = df.groupBy(order).agg(F.max(time).alias("__peak"))
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    marks = peaks.select(order, (F.max("__peak").over(before)
-                                 - F.expr(f"interval {delay}")).alias("watermark"))
+    marks = highest_before(peaks, "__peak", order, "watermark").select(
+        order, (F.col("watermark") - F.expr(f"interval {delay}")).alias("watermark"))
     return (df.join(marks, order)
             .withColumn("__end", F.window(time, size)["end"])
             .where(F.col("__end") <= F.col("watermark")).drop("__end"))

@@ -134,21 +134,22 @@ def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SECTORS = "(SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS sector FROM customer)"
 
-_OPS = ("case when event_type = 'error' and k = 99 then 'clear' else "
-        "case k % 8 when 0 then 'put' when 1 then 'putIfAbsent' when 2 then 'remove' "
-        "when 3 then 'removeIf' when 4 then 'replace' when 5 then 'replaceIf' "
-        "when 6 then 'put' else 'putIfAbsent' end end")
+_OPS = ("case when event_type = 'error' and k = 99 then 'clear' else {} end")
+_OP_NAMES = ["put", "putIfAbsent", "remove", "removeIf", "replace", "replaceIf", "put",
+             "putIfAbsent"]
 
 
 def map_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(
-        F.col("event_id").alias("rev"), F.expr(_OPS).alias("op"),
+        F.col("event_id").alias("rev"),
+        F.expr(_OPS.format(f"element_at(array({str(_OP_NAMES)[1:-1]}), k % 8 + 1)")).alias("op"),
         F.concat(F.lit("key-"), F.col("user_id").cast("string")).alias("key"),
         F.concat(F.lit("v"), F.expr("k % 3").cast("string")).alias("value"),
         F.concat(F.lit("v"), F.expr("event_id % 3").cast("string")).alias("expected"))
 
 
-MAP_UPDATES = f"""(SELECT event_id AS rev, {_OPS} AS op,
+MAP_UPDATES = f"""(SELECT event_id AS rev,
+  {_OPS.format(f"list_extract({_OP_NAMES}, k % 8 + 1)")} AS op,
   'key-' || CAST(user_id AS VARCHAR) AS key, 'v' || CAST(k % 3 AS VARCHAR) AS value,
   'v' || CAST(event_id % 3 AS VARCHAR) AS expected FROM {EVENTS})"""
 
