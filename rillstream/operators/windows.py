@@ -89,10 +89,11 @@ def cumulative_distinct(df: DataFrame, time: str, who: str, step_minutes: int =
 
 
 def late_rows(df: DataFrame, time: str, order: str, delay: str, size: str) -> DataFrame:
-    """Rows that a live job would have dropped had it advanced its watermark per arrival block.
+    """Rows that arrived after their window had closed.
 
     ``order`` is the micro-batch number of each row. A row is late when its window
-    ended at or before the highest time of the earlier batches minus ``delay``.
+    ended at or before the highest time of the earlier batches minus ``delay``. A live job
+    still takes late rows of the one batch in which it closes the window, and drops later ones.
     """
     peaks = df.groupBy(order).agg(F.max(time).alias("__peak"))
     marks = highest_before(peaks, "__peak", order, "watermark").select(

@@ -35,15 +35,17 @@ def trip_csv(spark: SparkSession, path: str) -> DataFrame:
     A record that does not have its 17 fields fails the read.
     """
     schema = ", ".join(f"{c} string" for c in TRIP_COLUMNS)
-    raw = spark.read.csv(path, schema=schema, header=True, mode="FAILFAST",
-                         enforceSchema=True)
+    # without pruning all fields are parsed, which is what checks their number
+    raw = spark.read.option("columnPruning", "false").csv(path, schema=schema, header=True,
+                                                          mode="FAILFAST")
     return raw.select(*[
         (parse_seconds(F.col(c)) if kind == "time" else F.col(c).cast(kind)).alias(c)
         for c, kind in TRIP_USED.items()])
 
 
 def zone_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, schema=ZONE_SCHEMA, header=True, mode="FAILFAST")
+    return spark.read.option("columnPruning", "false").csv(path, schema=ZONE_SCHEMA, header=True,
+                                                           mode="FAILFAST")
 
 
 def with_ride_ids(trips: DataFrame) -> DataFrame:
