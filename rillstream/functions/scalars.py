@@ -105,3 +105,8 @@ def lower_camel(name: str) -> str:
     """``pu_location_id`` to ``puLocationId``."""
     head, *rest = name.split("_")
     return head + "".join(part.capitalize() for part in rest)
+
+
+def camel_json(columns: list[str]) -> Column:
+    """Row to JSON text with lowerCamel field names."""
+    return F.to_json(F.struct(*[F.col(c).alias(lower_camel(c)) for c in columns]))

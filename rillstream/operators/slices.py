@@ -16,27 +16,31 @@ from .ordered import CHUNK_WIDTH, INDEX_WIDTH, Fold, dense_index, keyed_scan
 Cut = Mapping[int, int]
 
 
-def read_slice(log: DataFrame, start: Cut | None = None, end: Cut | None = None) -> DataFrame:
+def read_slice(log: DataFrame, start: Cut | None = None, end: Cut | None = None, *,
+               others: bool = True) -> DataFrame:
     """Events between two known cuts; ``None`` (or a missing segment) is unbounded.
 
-    The cuts become plain predicates on segment and offset, which prune partitions and
-    row groups in the scan.
+    Segments that neither cut names are read whole, or not at all with ``others=False``.
+    The cuts become plain predicates that prune partitions by segment; without other segments
+    the widest offset range also reaches the scan and skips row groups.
     """
     segments = sorted(set(start or {}) | set(end or {}))
     if not segments:
-        return log
-    ranges: list[Column] = [~F.col("segment_id").isin(segments)]
+        return log if others else log.where(F.lit(False))
+    keep: Column = ~F.col("segment_id").isin(segments) if others else F.lit(False)
     for segment in segments:
         inside = F.col("segment_id") == segment
         if start and segment in start:
             inside &= F.col("offset") >= start[segment]
         if end and segment in end:
             inside &= F.col("offset") < end[segment]
-        ranges.append(inside)
-    keep = ranges[0]
-    for extra in ranges[1:]:
-        keep = keep | extra
-    return log.where(keep)
+        keep = keep | inside
+    out = log.where(keep)
+    if not others and start and len(start) == len(segments):
+        out = out.where(F.col("offset") >= min(start.values()))
+    if not others and end and len(end) == len(segments):
+        out = out.where(F.col("offset") < max(end.values()))
+    return out
 
 
 def read_slices(log: DataFrame, cuts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import wall_clock
+from ..functions.scalars import camel_json, wall_clock
 from ..operators import duplicates, joins, ordered, windows
 from . import inputs
 from .inputs import EVENTS, RIDES, ZONES
@@ -157,3 +157,14 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("event_id div 500").alias("batch"))
     return windows.late_rows(shifted, "time", "batch", "2 days", "1 hour").select(
         "event_id", "time", "watermark")
+
+
+@query(f"""SELECT ride_id, json_object('rideId', ride_id, 'vendorId', vendor_id,
+    'startLocationId', start_location_id, 'destLocationId', dest_location_id)::VARCHAR AS event,
+  CAST(vendor_id AS VARCHAR) AS routing_key FROM {RIDES}""")
+def rides_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides as JSON events with their routing key, ready for a log."""
+    return inputs.rides(spark, sf_dir).select(
+        "ride_id", camel_json(["ride_id", "vendor_id", "start_location_id",
+                               "dest_location_id"]).alias("event"),
+        F.col("vendor_id").cast("string").alias("routing_key"))

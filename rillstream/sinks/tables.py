@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ordered import INDEX_WIDTH, block_of, dense_index
+from ..operators.ordered import INDEX_WIDTH, dense_index
 from ..sources.eventlog import LOG_SCHEMA
 
 SEGMENTS = 5    # default number of segments of a stream
@@ -26,7 +26,8 @@ def assign_offsets(rows: DataFrame, position: str, *, base: DataFrame | None = N
     numbered = dense_index(rows, position, "offset", partition_by=["segment_id"], width=width)
     if base is None:
         return numbered
-    return (numbered.join(base, "segment_id", "left")
+    # one row per segment, and a stream has a fixed, small number of segments
+    return (numbered.join(F.broadcast(base), "segment_id", "left")
             .withColumn("offset", F.col("offset") + F.coalesce("next_offset", F.lit(0)))
             .drop("next_offset"))
 
@@ -35,8 +36,9 @@ def append_log(rows: DataFrame, path: str, scope: str, stream: str, position: st
                segments: int = SEGMENTS, width: int = INDEX_WIDTH) -> None:
     """Append events (event, routing_key, event_time, ``position``) to a log.
 
-    A segment is written by as many tasks as it has offset blocks, each sorted, so a
-    busy segment is not one task and scans can skip row groups by offset.
+    Numbering leaves the rows partitioned by blocks of positions within a segment, and they
+    are written that way: a busy segment is shared by many tasks, and files sorted by
+    offset let scans skip row groups.
     """
     spark = rows.sparkSession
     placed = rows.withColumn("segment_id", segment_of("routing_key", segments))
@@ -48,9 +50,7 @@ def append_log(rows: DataFrame, path: str, scope: str, stream: str, position: st
     out = assign_offsets(placed, position, base=base, width=width).select(
         "event", "routing_key", "event_time", "offset", F.lit(scope).alias("scope"),
         F.lit(stream).alias("stream"), "segment_id")
-    (out.withColumn("__block", block_of("offset", width))
-     .repartition("segment_id", "__block").drop("__block")
-     .sortWithinPartitions("segment_id", "offset")
+    (out.sortWithinPartitions("scope", "stream", "segment_id", "offset")
      .write.mode("append").partitionBy("scope", "stream", "segment_id").parquet(path))
 
 

@@ -118,3 +118,14 @@ def _newest(df: DataFrame, key: str, version: str) -> DataFrame:
 
 def current_documents(spark: SparkSession, path: str, key: str, version: str) -> DataFrame:
     return _newest(read_batches(spark, path), key, version)
+
+
+def progress(query: StreamingQuery) -> list[dict[str, object]]:
+    """Throughput of a live query: rows and rates of its recent micro-batches."""
+    return [{"batch": p["batchId"], "rows": p["numInputRows"],
+             "rows_per_second": p["processedRowsPerSecond"]} for p in query.recentProgress]
+
+
+def rebalanced(stream: DataFrame, partitions: int) -> DataFrame:
+    """Round-robin over tasks, for work that is uneven across source partitions."""
+    return stream.repartition(partitions)

@@ -169,8 +169,8 @@ def test_console_and_discard(spark, source, tmp_path):
     stream = stream_of(spark, source).select("offset")
     query = sinks.print_rows(stream, str(tmp_path / "c1"), once=True)
     query.awaitTermination()
-    assert sum(p["numInputRows"] for p in query.recentProgress) == 300
-    sinks.discard(stream, str(tmp_path / "c2"), once=True).awaitTermination()
+    assert sum(p["rows"] for p in sinks.progress(query)) == 300
+    sinks.discard(sinks.rebalanced(stream, 4), str(tmp_path / "c2"), once=True).awaitTermination()
     out = str(tmp_path / "plain")
     sinks.at_least_once(stream, out, str(tmp_path / "c3"), once=True).awaitTermination()
     assert spark.read.parquet(out).count() == 300
