@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import base_counts
-from .ordered import INDEX_WIDTH, dense_index, running_sum
+from .ordered import INDEX_WIDTH, dense_index, running_sums
 
 # Fixed defaults of the statistics report.
 PERCENTILES = (0.5, 0.95, 0.99, 0.999)
@@ -109,8 +109,8 @@ def throughput(df: DataFrame, time: str, size: Column, window: str = "1 hour") -
            .agg(F.count(F.lit(1)).alias("events"), F.sum(size).alias("bytes"))
            .select(F.col("w.start").alias("window_start"), "events", "bytes",
                    F.unix_seconds(F.col("w.start").cast("timestamp")).alias("at")))
-    out = running_sum(per, "events", "at", "total_events")
-    return running_sum(out, "bytes", "at", "total_bytes").drop("at")
+    return running_sums(per, {"total_events": F.col("events"), "total_bytes": F.col("bytes")},
+                        "at").drop("at")
 
 
 def base_composition(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -17,7 +17,7 @@ Positions must be unique, non-negative integers within a key (log offsets), so a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -173,37 +173,52 @@ def previous_row(df: DataFrame, keys: Sequence[str], position: str, columns: Seq
             .withColumnRenamed("before", "previous").drop("after"))
 
 
-_SUM = Fold(
-    initial=lambda: F.lit(0).cast("long"),
-    identity=lambda: F.lit(0).cast("long"),
-    effect=lambda row: row["weight"],
-    compose=lambda first, second: first + second,
-    apply=lambda fn, state: state + fn)
+def _sums(names: Sequence[str]) -> Fold:
+    """Totals of several weights at once."""
+    zero = F.struct(*[F.lit(0).cast("long").alias(n) for n in names])
 
+    def add(a: Column, b: Column) -> Column:
+        return F.struct(*[(a[n] + b[n]).alias(n) for n in names])
 
-def running_sum(df: DataFrame, weight: Column | str, position: str, name: str, *,
-                partition_by: Sequence[str] = (), width: int = INDEX_WIDTH,
-                fan: int = CHUNK_FAN) -> DataFrame:
-    """Inclusive running total of an integer ``weight`` in ``position`` order.
+    return Fold(initial=lambda: zero, identity=lambda: zero, effect=lambda row: row,
+                compose=add, apply=lambda fn, state: add(state, fn))
+
+
+def running_sums(df: DataFrame, weights: Mapping[str, Column], position: str, *,
+                 partition_by: Sequence[str] = (), width: int = INDEX_WIDTH,
+                 fan: int = CHUNK_FAN) -> DataFrame:
+    """Inclusive running totals of integer weights (result name -> weight) in ``position`` order.
 
     Works without bringing a partition into one task: totals per block of
     ``width`` positions, a prefix over the blocks, and a window inside each block.
     """
+    names = {name: f"__w{i}" for i, name in enumerate(weights)}
     weighted = df.select(
-        "*", (F.col(weight) if isinstance(weight, str) else weight).cast("long").alias("__w"),
+        "*", *[w.cast("long").alias(names[n]) for n, w in weights.items()],
         F.struct(*(partition_by or [F.lit(0)])).alias("__key"),
         block_of(position, width).alias("chunk"))
-    totals = weighted.groupBy("__key", "chunk").agg(F.sum("__w").alias("fn"))
-    starts = chunk_starts(totals, _SUM, fan=fan)
+    totals = weighted.groupBy("__key", "chunk").agg(
+        *[F.sum(w).alias(w) for w in names.values()]).select(
+        "__key", "chunk", F.struct(*names.values()).alias("fn"))
+    starts = chunk_starts(totals, _sums(list(names.values())), fan=fan)
     inside = Window.partitionBy("__key", "chunk").orderBy(position).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (
         weighted.join(starts, ["__key", "chunk"], "left")
-        .withColumn(name, F.col("start") + F.sum("__w").over(inside))
-        .select(*df.columns, name)
+        .select(*df.columns, *[(F.col(f"start.{w}") + F.sum(w).over(inside)).alias(n)
+                               for n, w in names.items()])
     )
 
 
+def running_sum(df: DataFrame, weight: Column | str, position: str, name: str, *,
+                partition_by: Sequence[str] = (), width: int = INDEX_WIDTH,
+                fan: int = CHUNK_FAN) -> DataFrame:
+    """One running total; see `running_sums`."""
+    column = F.col(weight) if isinstance(weight, str) else weight
+    return running_sums(df, {name: column}, position, partition_by=partition_by, width=width,
+                        fan=fan)
+
+
 def highest_before(df: DataFrame, value: str, position: str, name: str, *,
                    width: int = INDEX_WIDTH) -> DataFrame:
     """Highest ``value`` of all rows at lower positions (null for the first)."""

@@ -78,14 +78,17 @@ def cumulative_distinct(df: DataFrame, time: str, who: str, step_minutes: int =
               .groupBy(day.alias("day"), who).agg(F.min(time).alias("first")))
     fresh = (firsts.groupBy("day", F.floor(minute / step_minutes).cast("int").alias("step"))
              .agg(F.count(who).alias("n")))
-    every = (fresh.groupBy("day").agg(F.min("step").alias("s"))
-             .select("day", F.explode(F.sequence("s", F.lit(last))).alias("step")))
+    # at most one entry per step of the day
+    days = fresh.groupBy("day").agg(
+        F.min("step").alias("s"),
+        F.map_from_entries(F.collect_list(F.struct("step", "n"))).alias("new"))
+    every = days.select("day", "new", F.explode(F.sequence("s", F.lit(last))).alias("step"))
     running = Window.partitionBy("day").orderBy("step").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     end = F.col("day") + F.make_dt_interval(mins=(F.col("step") + 1) * step_minutes)
-    return (every.join(fresh, ["day", "step"], "left")
-            .withColumn(name, F.sum(F.coalesce("n", F.lit(0))).over(running))
-            .select(F.col("day").alias("window_start"), end.alias("window_end"), name))
+    new = F.coalesce(F.try_element_at("new", F.col("step")), F.lit(0))
+    return every.withColumn(name, F.sum(new).over(running)).select(
+        F.col("day").alias("window_start"), end.alias("window_end"), name)
 
 
 def late_rows(df: DataFrame, time: str, order: str, delay: str, size: str) -> DataFrame:
