@@ -12,7 +12,7 @@ from .registry import query
 
 # Fixed writer versions of the evolving record and the default of its later field.
 WRITER_FIELDS = {1: ["a"], 2: ["a", "b"]}
-DEFAULTS = {"b": "backward compatible with schema1"}
+DEFAULTS = {"b": "backwardPolicy compatible with schema1"}
 
 
 @query(f"""SELECT event_id, version, name AS a,

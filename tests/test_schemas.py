@@ -21,8 +21,8 @@ def test_old_rows_get_defaults_and_written_nulls_stay(spark):
     df = spark.createDataFrame([(1, '{"a":"test"}'), (2, '{"a":"test","b":"value"}'),
                                 (2, '{"a":"test","b":null}')], "version int, payload string")
     out = schemas.read_evolved(df, "a string, b string", {1: ["a"], 2: ["a", "b"]},
-                               {"b": "backward compatible with schema1"})
-    assert [r["b"] for r in out.collect()] == ["backward compatible with schema1", "value", None]
+                               {"b": "backwardPolicy compatible with schema1"})
+    assert [r["b"] for r in out.collect()] == ["backwardPolicy compatible with schema1", "value", None]
 
 
 def test_field_without_default_is_rejected(spark):
