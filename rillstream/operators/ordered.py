@@ -28,6 +28,7 @@ from ..session import shared_dir
 CHUNK_WIDTH = 4096      # most rows folded in one array
 CHUNK_FAN = 1024        # chunks put together per second-level group
 INDEX_WIDTH = 1 << 18   # positions per task in a plain running sum
+_RUN = 64               # states gathered before they are put aside
 
 
 def block_of(position: str, width: int) -> Column:
@@ -55,14 +56,30 @@ class Fold:
 
 def states_before(items: Column, start: Column,
                   advance: Callable[[Column, Column], Column]) -> Column:
-    """State in front of each item of an array; ``advance(item, state)`` gives the next one."""
+    """State in front of each item of an array; ``advance(item, state)`` gives the next one.
+
+    Appending to an array copies it, so states are gathered in short runs that are
+    flattened in the end: the cost per item does not grow with the array.
+    """
+    none_yet = F.slice(F.array(start), 1, 0)
 
     def step(acc: Column, item: Column) -> Column:
         return F.struct(advance(item, acc["state"]).alias("state"),
                         F.concat(acc["seen"], F.array(acc["state"])).alias("seen"))
 
-    none_yet = F.slice(F.array(start), 1, 0)
-    return F.aggregate(items, F.struct(start.alias("state"), none_yet.alias("seen")), step)["seen"]
+    def walk_run(acc: Column, number: Column) -> Column:
+        run = F.slice(items, number * _RUN + 1, F.lit(_RUN))
+        walked = F.aggregate(run, F.struct(acc["state"].alias("state"), none_yet.alias("seen")),
+                             step)
+        # a one-element transform names the walk, which is otherwise evaluated per use
+        return F.element_at(F.transform(F.array(walked), lambda w: F.struct(
+            w["state"].alias("state"),
+            F.concat(acc["runs"], F.array(w["seen"])).alias("runs"))), 1)
+
+    runs = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _RUN).cast("int"))
+    none_walked = F.slice(F.array(none_yet), 1, 0)
+    return F.flatten(F.aggregate(
+        runs, F.struct(start.alias("state"), none_walked.alias("runs")), walk_run)["runs"])
 
 
 def _sorted_by(items: Column, field: str) -> Column:
@@ -136,7 +153,12 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], position: str, fold: Fold, *,
     payload = F.struct(*[c for c in df.columns if c not in keys])
     keyed = df.select(F.struct(*keys).alias("__key"), F.col(position).alias("__pos"),
                       payload.alias("row"))
-    items = F.sort_array(F.collect_list(F.struct("__pos", "row"))).alias("rows")
+    items = F.collect_list(F.struct("__pos", "row"))
+    text = df.schema.json()
+    if '"map"' in text or '"variant"' in text:      # such rows have no order of their own
+        items = _sorted_by(items, "__pos").alias("rows")
+    else:
+        items = F.sort_array(items).alias("rows")
     heavy = heavy_keys(keyed, ["__key"], width).checkpoint()
     if heavy.isEmpty():
         return _replayed(keyed.groupBy("__key").agg(items), fold.initial(), fold, keys, df.columns)
