@@ -148,6 +148,8 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], position: str, fold: Fold, *,
     ``width`` rows are kept, in the shared checkpoint folder). Without such keys each history
     is folded as one array, in one shuffle. Heavy keys are cut into chunks of ``width`` positions.
     """
+    if df.isStreaming:
+        raise ValueError("keyed_scan is a batch operator; see rillstream.streaming.stateful")
     keys = list(keys)
     shared_dir(df.sparkSession)
     payload = F.struct(*[c for c in df.columns if c not in keys])

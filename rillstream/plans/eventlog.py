@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import iso_millis, routed_json
-from ..operators import slices
+from ..operators import ordered, slices
+from ..session import fresh_path
 from ..sinks import tables
 from ..sources import eventlog
 from . import inputs
@@ -166,3 +167,21 @@ def union_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.table(spark, sf_dir, "events").select(
         "event_id", iso_millis(F.unix_millis(F.col("ts").cast("timestamp"))).alias("iso_time"))
+
+
+@query("""SELECT event_id, CAST(user_id AS VARCHAR) AS routing_key,
+  row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seq FROM events""")
+def log_append_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends to a stored log, read back: the events of a key keep the order of writing."""
+    path = fresh_path(spark, "log")
+    rows = inputs.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event"),
+        F.col("user_id").cast("string").alias("routing_key"),
+        F.col("ts").cast("timestamp").alias("event_time"), "event_id")
+    turn = F.lit("2024-01-16").cast("timestamp")
+    for part in (rows.where(F.col("event_time") < turn), rows.where(F.col("event_time") >= turn)):
+        tables.append_log(part, path, "examples", "events", "event_id")
+    stored = eventlog.read_log(spark, path, "examples", "events").select(
+        F.col("event").cast("long").alias("event_id"), "routing_key", "offset")
+    return ordered.dense_index(stored, "offset", "seq", first=1,
+                               partition_by=["routing_key"]).drop("offset")

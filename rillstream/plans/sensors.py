@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import sensor_line, sensor_reading
 from ..operators import slices, windows, words
+from ..session import fresh_path
+from ..sinks import tables
 from . import inputs
 from .registry import query
 
 _DAY = "time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01 08:00:00')"
 
 
-@query(f"""SELECT user_id AS sensor_id, {_DAY} AS window_start,
+_SUMMARY = f"""SELECT user_id AS sensor_id, {_DAY} AS window_start,
   {_DAY} + INTERVAL '1 day' AS window_end, arg_min(ts, event_id) AS start_time,
   arg_max(event_type, event_id) AS location, min(value) AS temp_min, max(value) AS temp_max
-  FROM events GROUP BY ALL""")
+  FROM events GROUP BY ALL"""
+
+
+@query(_SUMMARY)
 def sensor_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = inputs.table(spark, sf_dir, "events").withColumnRenamed("user_id", "sensor_id")
     return windows.tumbling(
@@ -27,6 +32,15 @@ def sensor_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["start_time", "location", "temp_min", "temp_max"], "8 hours")
 
 
+@query(_SUMMARY)
+def sensor_summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily summary through the CSV sink and back."""
+    summary = sensor_daily_summary(spark, sf_dir)
+    path = fresh_path(spark, "summary-csv")
+    tables.write_csv(summary, path)
+    return tables.read_csv(spark, path, summary.schema)
+
+
 def _average(source: str, size: str, scale: int) -> str:
     return (f"SELECT sensor_id, time_bucket(INTERVAL '{size}', ts, TIMESTAMP '1970-01-01') "
             f"+ INTERVAL '{size}' AS ts, "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.ordered import INDEX_WIDTH, dense_index
 from ..sources.eventlog import LOG_SCHEMA
@@ -71,8 +72,18 @@ def read_committed(log: DataFrame, status: DataFrame) -> DataFrame:
     return log.where("txn_id is null").unionByName(inside)
 
 
+# Times in full: the format Spark writes by default stops at milliseconds.
+CSV_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path)
+    df.write.mode("overwrite").options(**CSV_TIMES).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """What `write_csv` stored."""
+    return spark.read.schema(schema).options(**CSV_TIMES).csv(path, mode="FAILFAST")
 
 
 def insert_select(df: DataFrame, table: str) -> None:

@@ -88,6 +88,23 @@ def test_late_rows_are_dropped_live_and_listed_by_the_audit(spark, tmp_path):
     assert [r["offset"] for r in audit.collect()] == [3]
 
 
+def test_slowest_source_holds_the_watermark(spark, tmp_path):
+    fast, slow = str(tmp_path / "fast"), str(tmp_path / "slow")
+    batch_files(spark, fast, [[(i, 0, i, 1.0, 1) for i in range(0, 1000, 10)]])
+    batch_files(spark, slow, [[(i, 0, i, 1.0, 1) for i in range(0, 100, 10)]])
+    both = live.watermarked(stream_of(spark, fast), "at", "0 seconds").unionByName(
+        live.watermarked(stream_of(spark, slow), "at", "0 seconds"))
+    counts = both.groupBy(F.window("at", "30 seconds").alias("w")).agg(F.count("*").alias("n"))
+    got = run(counts.select(F.col("w.start").alias("start"), "n"), tmp_path, "union")
+    assert {(r["start"].timestamp(), r["n"]) for r in got.collect()} == {
+        (0.0, 6), (30.0, 6), (60.0, 6)}
+
+
+def test_batch_scan_refuses_a_stream(spark, source):
+    with pytest.raises(ValueError, match="batch operator"):
+        slices.bookmark_slices(stream_of(spark, source), "sensor", "offset", F.col("value") < 0)
+
+
 def test_restart_goes_on_where_it_stopped(spark, source, tmp_path):
     out, checkpoint = str(tmp_path / "copy"), str(tmp_path / "copy-c")
     sinks.append_files(stream_of(spark, source), out, checkpoint, once=True).awaitTermination()
