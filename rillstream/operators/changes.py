@@ -27,7 +27,9 @@ def latest(changes: DataFrame) -> DataFrame:
     An aggregate rather than a ranking, so each task reduces its rows to one per key
     before anything is shuffled.
     """
-    order = F.struct("file", "pos", "row")
+    # log files are numbered, and the number outgrows its leading zeros
+    number = F.regexp_extract("file", "([0-9]+)$", 1).try_cast("decimal(38,0)")
+    order = F.struct(number.alias("number"), "file", "pos", "row")
     last = changes.groupBy("id").agg(
         F.max(F.struct(order.alias("at"), "op", F.col("after.value").alias("value"))).alias("c"))
     return last.where("c.op <> 'd'").select("id", F.col("c.value").alias("value"))
@@ -55,19 +57,20 @@ def retractions(changes: DataFrame) -> DataFrame:
 def group_average(table: DataFrame, dimension: DataFrame, group: str = "sector",
                   name: str = "index") -> DataFrame:
     """Average value per group of the joined dimension."""
-    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
-    return (table.join(dimension, "id").groupBy(group)
-            .agg((total / F.count("value")).alias(name)))
+    return table.join(dimension, "id").groupBy(group).agg(F.avg("value").alias(name))
 
 
 def folded_average(signed: DataFrame, dimension: DataFrame, group: str = "sector",
                    name: str = "index") -> DataFrame:
-    """The same average from signed rows alone: summed per key first, then per group."""
-    per_key = signed.groupBy("id").agg(
-        F.sum(F.col("sign") * F.col("value").cast("decimal(18,2)")).alias("total"),
-        F.sum("sign").alias("rows"))
-    return (per_key.join(dimension, "id").groupBy(group)
-            .agg(F.sum("total").cast("double").alias("t"), F.sum("rows").alias("n"))
+    """The same average from signed rows alone: counted per key and value first, then per group.
+
+    Values are taken back before they are added up, so a large one that is gone leaves no rounding behind;
+    null values do not count.
+    """
+    per_value = signed.where(F.col("value").isNotNull()).groupBy("id", "value").agg(
+        F.sum("sign").alias("rows")).where("rows <> 0")
+    return (per_value.join(dimension, "id").groupBy(group)
+            .agg(F.sum(F.col("value") * F.col("rows")).alias("t"), F.sum("rows").alias("n"))
             .where("n > 0").select(group, (F.col("t") / F.col("n")).alias(name)))
 
 

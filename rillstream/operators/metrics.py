@@ -76,10 +76,9 @@ def _narrow(rows: DataFrame, cell: Sequence[str], order: str) -> DataFrame:
     return _holding(counts, ["g"], order).select("p", "rank", *cell)
 
 
-def latency_report(df: DataFrame, value: str, *, scale: int = 2) -> DataFrame:
+def latency_report(df: DataFrame, value: str) -> DataFrame:
     """Count, average and maximum of a reading."""
-    total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).cast("double")
-    return df.agg(F.count(value).alias("records"), (total / F.count(value)).alias("avg_value"),
+    return df.agg(F.count(value).alias("records"), F.avg(value).alias("avg_value"),
                   F.max(value).alias("max_value"))
 
 
@@ -92,14 +91,13 @@ def systematic_sample(df: DataFrame, position: str, most: int = SAMPLE_ROWS, *,
 
 
 def count_windows(df: DataFrame, position: str, value: str, size: Column, rows: int = 200, *,
-                  scale: int = 2, width: int = INDEX_WIDTH) -> DataFrame:
+                  width: int = INDEX_WIDTH) -> DataFrame:
     """Statistics per ``rows`` records; an incomplete last window is not reported."""
     indexed = dense_index(df.select(position, value, size.alias("bytes")), position, "i",
                           width=width)
-    total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).cast("double")
     return (indexed.groupBy(F.expr(f"i div {rows}").alias("window_no"))
             .agg(F.count(F.lit(1)).alias("records"), F.sum("bytes").alias("bytes"),
-                 (total / F.count(value)).alias("avg_value"), F.max(value).alias("max_value"))
+                 F.avg(value).alias("avg_value"), F.max(value).alias("max_value"))
             .where(F.col("records") == rows))
 
 
@@ -114,5 +112,6 @@ def throughput(df: DataFrame, time: str, size: Column, window: str = "1 hour") -
 
 
 def base_composition(df: DataFrame, key: str, text: str) -> DataFrame:
-    """A, C, G and T letters per record."""
-    return df.select(key, *base_counts(F.col(text)))
+    """A, C, G and T letters of each record's sequence: its second line, or all of a record of one line."""
+    sequence = F.coalesce(F.get(F.split(text, "\n"), F.lit(1)), F.col(text))
+    return df.select(key, *base_counts(sequence))

@@ -39,28 +39,19 @@ def hopping_count(df: DataFrame, time: str, size: str, slide: str, keys: Sequenc
     return _bounds(windows, keys, [name])
 
 
-def exact_average(value: str, scale: int = 2) -> Column:
-    """Average from an exact decimal sum, so the result does not depend on merge order."""
-    total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).cast("double")
-    return total / F.count(value)
-
-
-def averages(df: DataFrame, time: str, size: str, key: str, value: str, *,
-             scale: int = 2) -> DataFrame:
+def averages(df: DataFrame, time: str, size: str, key: str, value: str) -> DataFrame:
     """Average per key and window, stamped with the window end as its new event time."""
     w = F.window(time, size).alias("w")
-    return (df.groupBy(key, w).agg(exact_average(value, scale).alias(value))
+    return (df.groupBy(key, w).agg(F.avg(value).alias(value))
             .select(key, F.col("w.end").alias(time), value))
 
 
-def chained_averages(df: DataFrame, time: str, sizes: Sequence[str], key: str, value: str, *,
-                     scale: int = 2, digits: int = 6) -> DataFrame:
+def chained_averages(df: DataFrame, time: str, sizes: Sequence[str], key: str,
+                     value: str) -> DataFrame:
     """Feed each averaged series into the next, coarser window."""
-    out = averages(df, time, sizes[0], key, value, scale=scale)
-    for size in sizes[1:]:
-        out = averages(out.withColumn(value, F.round(value, digits)), time, size, key, value,
-                       scale=digits)
-    return out
+    for size in sizes:
+        df = averages(df, time, size, key, value)
+    return df
 
 
 def cumulative_distinct(df: DataFrame, time: str, who: str, step_minutes: int = 10,

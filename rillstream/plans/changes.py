@@ -48,20 +48,20 @@ def cdc_retractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _INDEX = f"""SELECT sector,
-  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS "index"
+  round(avg(value), 6) AS "index"
   FROM {_latest(CHANGES)} JOIN {SECTORS} USING (id) GROUP BY sector"""
 
 
 @query(_INDEX)
 def cdc_sector_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.group_average(changes.latest(_decoded(spark, sf_dir)),
-                                 inputs.sectors(spark, sf_dir))
+                                 inputs.sectors(spark, sf_dir)).withColumn("index", F.round("index", 6))
 
 
 @query(_INDEX)
 def cdc_sector_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.folded_average(changes.retractions(_decoded(spark, sf_dir)),
-                                  inputs.sectors(spark, sf_dir))
+                                  inputs.sectors(spark, sf_dir)).withColumn("index", F.round("index", 6)).withColumn("index", F.round("index", 6))
 
 
 @query("""SELECT user_id, arg_max(value, event_id) AS value FROM events

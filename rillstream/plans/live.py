@@ -126,12 +126,12 @@ def stream_bookmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TEN = "time_bucket(INTERVAL '10 seconds', ts, TIMESTAMP '1970-01-01')"
 _LONG = "time_bucket(INTERVAL '500 seconds', ts, TIMESTAMP '1970-01-01')"
 _SHORT = f"""(SELECT * FROM (SELECT user_id AS sensor_id, {_TEN} + INTERVAL '10 seconds' AS ts,
-    CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS value
+    avg(value) AS value
     FROM events GROUP BY ALL) WHERE ts <= (SELECT max(ts) FROM events))"""
 
 
 @query(f"""SELECT * FROM (SELECT sensor_id, {_LONG} + INTERVAL '500 seconds' AS ts,
-    CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / count(value) AS value FROM {_SHORT}
+    round(avg(value), 6) AS value FROM {_SHORT}
   GROUP BY ALL) WHERE ts <= (SELECT max(ts) FROM {_SHORT})""")
 def stream_chained_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """10-second averages written as a stream of their own, averaged again per 500 seconds."""
@@ -141,8 +141,8 @@ def stream_chained_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = live.averages(readings, "ts", "0 seconds", "10 seconds", "sensor_id", "value")
     sinks.append_files(short, f"{path}/short", f"{path}/c1", once=True).awaitTermination()
     again = spark.readStream.schema(short.schema).parquet(f"{path}/short")
-    return _stored(live.averages(again, "ts", "0 seconds", "500 seconds", "sensor_id", "value",
-                                 scale=6), "averages")
+    return _stored(live.averages(again, "ts", "0 seconds", "500 seconds", "sensor_id", "value"),
+                   "averages").withColumn("value", F.round("value", 6))
 
 
 @query("""SELECT d.day AS window_start, d.day + to_minutes(10 * (s.i + 1)) AS window_end,
@@ -165,7 +165,7 @@ def stream_cumulate_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.cumulative_distinct(sinks.read_batches(spark, f"{path}/first"), "ts", "user_id")
 
 
-@query(f"""SELECT sector, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS "index"
+@query(f"""SELECT sector, round(avg(value), 6) AS "index"
   FROM (SELECT CAST(user_id AS VARCHAR) AS id, value FROM {EVENTS} WHERE true
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
       AND event_type <> 'error') JOIN {SECTORS} USING (id) GROUP BY sector""")
@@ -184,4 +184,4 @@ def stream_sector_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.keep_latest(changes.decode(feed), f"{path}/latest", f"{path}/checkpoint",
                       once=True).awaitTermination()
     return changes.group_average(sinks.current_table(spark, f"{path}/latest"),
-                                 inputs.sectors(spark, sf_dir))
+                                 inputs.sectors(spark, sf_dir)).withColumn("index", F.round("index", 6))

@@ -21,10 +21,11 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT count(value) AS records,
-  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_value,
+  round(avg(value), 6) AS avg_value,
   max(value) AS max_value FROM events""")
 def latency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.latency_report(inputs.table(spark, sf_dir, "events"), "value")
+    return metrics.latency_report(inputs.table(spark, sf_dir, "events"), "value").withColumn(
+        "avg_value", F.round("avg_value", 6))
 
 
 # Rows the sample aims at; the usual 500,000 is more than the test tables hold.
@@ -41,13 +42,14 @@ def latency_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT CAST(i // 200 AS BIGINT) AS window_no, count(*) AS records,
   sum(strlen(props))::BIGINT AS bytes,
-  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS avg_value,
+  round(avg(value), 6) AS avg_value,
   max(value) AS max_value
   FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events)
   GROUP BY 1 HAVING count(*) = 200""")
 def count_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.count_windows(inputs.table(spark, sf_dir, "events"), "event_id", "value",
-                                 F.octet_length("props").cast("long"))
+                                 F.octet_length("props").cast("long")).withColumn(
+        "avg_value", F.round("avg_value", 6))
 
 
 @query("""SELECT window_start, events, bytes,
@@ -61,10 +63,11 @@ def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT doc_id,
-  length(text) - length(replace(text, 'A', '')) AS n_a,
-  length(text) - length(replace(text, 'C', '')) AS n_c,
-  length(text) - length(replace(text, 'G', '')) AS n_g,
-  length(text) - length(replace(text, 'T', '')) AS n_t FROM documents""")
+  length(line) - length(replace(line, 'A', '')) AS n_a,
+  length(line) - length(replace(line, 'C', '')) AS n_c,
+  length(line) - length(replace(line, 'G', '')) AS n_g,
+  length(line) - length(replace(line, 'T', '')) AS n_t
+  FROM (SELECT doc_id, coalesce(string_split(text, chr(10))[2], text) AS line FROM documents)""")
 def base_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.base_composition(inputs.table(spark, sf_dir, "documents"), "doc_id", "text")
 

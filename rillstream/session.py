@@ -34,13 +34,16 @@ def build_session(app_name: str = "rillstream", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the setting is absent (tests on one machine) a fresh local
-    folder is taken, once per session.
+    Only in a local session without the setting (tests on one machine) a fresh local
+    folder is taken, once per session; on a cluster the setting must be there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="rillstream-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.windows import exact_average
 from ..operators.words import tokens
 
 
@@ -36,10 +35,10 @@ def hopping_count(stream: DataFrame, time: str, delay: str, size: str, slide: st
     return windowed(stream, time, delay, size, keys, [F.count(counted).alias(name)], slide=slide)
 
 
-def averages(stream: DataFrame, time: str, delay: str, size: str, key: str, value: str, *,
-             scale: int = 2) -> DataFrame:
+def averages(stream: DataFrame, time: str, delay: str, size: str, key: str,
+             value: str) -> DataFrame:
     """Window averages stamped with the window end, ready to feed a coarser job."""
-    out = windowed(stream, time, delay, size, [key], [exact_average(value, scale).alias(value)])
+    out = windowed(stream, time, delay, size, [key], [F.avg(value).alias(value)])
     return out.select(key, F.col("window_end").alias(time), value)
 
 

@@ -56,13 +56,12 @@ def test_chained_averages_are_stamped_with_window_end(spark):
     df = (spark.range(2000).select(
         F.lit(0).alias("id"), F.timestamp_millis(F.lit(start) + F.col("id") * 1000).alias("ts"),
         F.sin(F.col("id") * 0.01 * math.pi).alias("value")))
-    first = windows.averages(df, "ts", "10 seconds", "id", "value", scale=8)
+    first = windows.averages(df, "ts", "10 seconds", "id", "value")
     row = first.orderBy("ts").first()
     assert row["ts"] == ts("2017-07-14T02:40:10")
     want = sum(math.sin(0.01 * math.pi * i) for i in range(9)) / 9
     assert row["value"] == pytest.approx(want, abs=1e-7)
-    second = windows.chained_averages(df, "ts", ["10 seconds", "500 seconds"], "id", "value",
-                                      scale=8)
+    second = windows.chained_averages(df, "ts", ["10 seconds", "500 seconds"], "id", "value")
     assert [r["ts"] for r in second.orderBy("ts").collect()][:2] == [
         ts("2017-07-14T02:48:20"), ts("2017-07-14T02:56:40")]
 
