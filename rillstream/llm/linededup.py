@@ -181,7 +181,8 @@ def drop_repeated(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bytes: int
     document; rows without one are together one document that comes last. Other columns stay as they are;
     columns called n_lines or n_dropped are replaced.
     """
-    lost = repeated_lines(docs, min_chars, filter_bytes)
+    lost = repeated_lines(docs, min_chars, filter_bytes).select(
+        F.col("doc").alias("__doc"), F.col("digests").alias("__digests"))
 
     @F.pandas_udf("text string, n_lines long, n_dropped long")
     def cut(texts: pd.Series, digests: pd.Series) -> pd.DataFrame:
@@ -199,7 +200,7 @@ def drop_repeated(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bytes: int
 
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*columns).join(
-        lost, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == lost["doc"], "left")
-    rows = rows.withColumn("__cut", cut("text", "digests"))
+        lost, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("__doc"), "left")
+    rows = rows.withColumn("__cut", cut("text", "__digests"))
     return rows.select(*(F.col("__cut.text").alias("text") if c == "text" else F.col(c) for c in columns),
                        "__cut.n_lines", "__cut.n_dropped")

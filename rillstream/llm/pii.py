@@ -30,6 +30,11 @@ MIN_SUPPORT = 5
 CONFIDENT = 0.9
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body (or a function over an array in it) uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def running_starts(lengths: Column) -> Column:
     """Where each of consecutive pieces starts, in blocks, so that long arrays stay cheap."""
     def sums(start: Column, values: Column) -> Column:
@@ -38,13 +43,17 @@ def running_starts(lengths: Column) -> Column:
     def total(values: Column) -> Column:
         return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")),
-                         lambda b: F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK)))
-    begins = sums(F.lit(0), F.transform(blocks, total))
-    each = F.zip_with(blocks, F.slice(begins, F.lit(1), F.size(blocks)), lambda values, begin: F.struct(
-        values.alias("v"), begin.alias("b")))
-    placed = F.flatten(F.transform(each, lambda x: F.slice(sums(x["b"], x["v"]), F.lit(1), F.size(x["v"]))))
-    return F.when(F.size(lengths) > 0, placed).otherwise(F.array().cast("array<int>"))
+    def placed(blocks: Column) -> Column:
+        begins = F.slice(sums(F.lit(0), F.transform(blocks, total)), F.lit(1), F.size(blocks))
+        return F.flatten(F.zip_with(blocks, begins, lambda values, begin: F.slice(
+            sums(begin, values), F.lit(1), F.size(values))))
+
+    def of(values: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")),
+                             lambda b: F.slice(values, b * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(values) > 0, let(blocks, placed)).otherwise(F.array().cast("array<int>"))
+
+    return let(lengths, of)
 
 
 def _luhn(digits: Column) -> Column:
@@ -76,13 +85,17 @@ def _found(kind: str) -> Column:
     matches = F.regexp_extract_all("text", F.lit(FORMS[kind]), F.lit(0))
     none = F.array().cast("array<struct<kind:int,start:int,end:int,match:string>>")
     gaps = F.split("text", FORMS[kind], -1)
-    pieces = F.zip_with(gaps, matches, lambda gap, match: F.length(gap) + F.coalesce(F.length(match), F.lit(0)))
-    begins = running_starts(pieces)
-    spans = F.transform(matches, lambda match, i: F.struct(
-        F.lit(KINDS.index(kind)).alias("kind"),
-        (F.get(begins, i) + F.length(F.get(gaps, i))).alias("start"),
-        (F.get(begins, i) + F.length(F.get(gaps, i)) + F.length(match)).alias("end"), match.alias("match")))
-    return F.when(guard, F.filter(spans, lambda s: _valid(kind)(s["match"]))).otherwise(none)
+
+    def spans(matches: Column, gaps: Column) -> Column:
+        begins = running_starts(F.zip_with(
+            gaps, matches, lambda gap, match: F.length(gap) + F.coalesce(F.length(match), F.lit(0))))
+        starts = F.zip_with(begins, gaps, lambda begin, gap: begin + F.length(gap))
+        return F.zip_with(starts, matches, lambda start, match: F.struct(
+            F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), (start + F.length(match)).alias("end"),
+            match.alias("match")))  # after the last gap there is no match
+
+    found = let(matches, lambda m: let(gaps, lambda g: spans(m, g)))
+    return F.when(guard, F.filter(found, lambda s: s["match"].isNotNull() & _valid(kind)(s["match"]))).otherwise(none)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -97,15 +110,19 @@ def base_spans(docs: DataFrame) -> DataFrame:
 def instances(rows: DataFrame) -> DataFrame:
     """One row per token with a digit or @ of base_spans: its place, context words, shape, and the seed it touches."""
     with_token = rows.where(F.rlike("text", F.lit("[0-9@]")))
-    tokens = with_token.withColumn("tokens", F.split("text", SPACE, -1))
-    tokens = tokens.withColumn("at", running_starts(F.transform("tokens", lambda t: F.length(t) + 1)))
     plain = lambda c: F.lower(F.regexp_replace(c, r"[^\p{L}]", ""))
-    picked = F.filter(F.transform("tokens", lambda t, i: F.struct(
-        t.alias("token"), F.get("at", i).alias("start"),
-        plain(F.coalesce(F.get("tokens", i - 1), F.lit(""))).alias("before"),
-        plain(F.coalesce(F.get("tokens", i + 1), F.lit(""))).alias("after"))),
-        lambda x: F.rlike(x["token"], F.lit("[0-9@]")))
-    out = tokens.select("doc_id", "key", "spans", F.explode(picked).alias("x")).select("doc_id", "key", "spans", "x.*")
+
+    def placed(tokens: Column, at: Column) -> Column:
+        return F.transform(tokens, lambda t, i: F.struct(
+            t.alias("token"), F.get(at, i).alias("start"), F.get(tokens, i - 1).alias("before"),
+            F.get(tokens, i + 1).alias("after")))
+
+    all_tokens = let(F.split("text", SPACE, -1), lambda tokens: let(
+        running_starts(F.transform(tokens, lambda t: F.length(t) + 1)), lambda at: placed(tokens, at)))
+    picked = F.filter(all_tokens, lambda x: F.rlike(x["token"], F.lit("[0-9@]")))
+    out = with_token.select("doc_id", "key", "spans", F.explode(picked).alias("x")).select(
+        "doc_id", "key", "spans", "x.token", "x.start", plain(F.coalesce("x.before", F.lit(""))).alias("before"),
+        plain(F.coalesce("x.after", F.lit(""))).alias("after"))
     # the token without marks around it
     lead = F.length("token") - F.length(F.regexp_replace("token", r"^[^\p{L}0-9+@(]++", ""))
     core = F.regexp_replace(F.regexp_replace("token", r"^[^\p{L}0-9+@(]++", ""), r"(?<![^\p{L}0-9])[^\p{L}0-9]++$|(?<=[\p{L}0-9])[^\p{L}0-9]++$", "")
