@@ -1,8 +1,9 @@
 """Licence scans: normalised text against licence templates by Dice's coefficient over word bigrams.
 
 Every line, every paragraph (lines between blank ones) and the whole text is compared. Two sets of bigrams can reach a
-coefficient t only if the smaller has at least t / (2 - t) times the size of the larger; templates outside these
-bounds are not compared.
+coefficient t only if the smaller has at least t / (2 - t) times the size of the larger, and only if they share as
+large a part of the template; templates outside these bounds are not compared. The second bound needs no bigrams: a template is
+out for a text, or for a passage, that lacks the words of too many of the template's bigrams.
 """
 
 from __future__ import annotations
@@ -78,18 +79,25 @@ class Matcher:
 
     def __init__(self, templates: tuple[tuple[str, str], ...], threshold: float) -> None:
         self.templates = [(name, bigrams(text)) for name, text in templates]
-        self.threshold, self.ratio = threshold, threshold / (2 - threshold)
-        sizes = [len(grams) for _, grams in self.templates]
-        self.least, self.most = min(sizes) * self.ratio, max(sizes) / self.ratio
-
-    def best(self, text: str) -> tuple[float, str] | None:
+        self.words = frozenset(word for _, grams in self.templates for pair in grams for word in pair if word)
+        self.threshold, self.ratio = threshold, threshold / (2 - threshold) - 1e-9
+
+    def possible(self, text: str, among: list[tuple[str, frozenset]] | None = None) -> list[tuple[str, frozenset]]:
+        """Those of the templates that can be like ``text`` or a part of it, by the words in it."""
+        found = self.words.intersection(WORD.findall(text.translate(LOWER)))
+        if not found:
+            return []
+        found |= {""}  # the second word of a passage of one word
+        return [(name, grams) for name, grams in (self.templates if among is None else among)
+                if sum(a in found and b in found for a, b in grams) >= self.ratio * len(grams)]
+
+    def best(self, text: str, among: list[tuple[str, frozenset]]) -> tuple[float, str] | None:
         """Highest coefficient and its licence, the first by name of equal ones; None below the threshold."""
-        grams = bigrams(text)
+        among = self.possible(text, among)
+        grams = bigrams(text) if among else frozenset()
         size = len(grams)
-        if not self.least <= size <= self.most:
-            return None
         found = None
-        for name, other in self.templates:
+        for name, other in among:
             if min(size, len(other)) < self.ratio * max(size, len(other)):
                 continue
             dice = 2 * len(grams & other) / (size + len(other))
@@ -97,6 +105,16 @@ class Matcher:
                 found = (dice, name)
         return found
 
+    def spans(self, text: str | None) -> list[dict[str, object]]:
+        """The passages of ``text`` like a template."""
+        among = self.possible(text) if text else []
+        out: list[dict[str, object]] = []
+        for begin, end in passages(text) if among else ():
+            best = self.best(text[begin:end], among)  # type: ignore[index]
+            if best:
+                out.append({"begin": begin, "end": end, "license": best[1], "dice": best[0]})
+        return out
+
 
 def license_spans(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:
@@ -109,16 +127,8 @@ def license_spans(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(span))])
     matcher = Matcher(templates, threshold)
 
-    def of(text: str | None) -> list[dict[str, object]]:
-        out = []
-        for begin, end in passages(text):
-            best = matcher.best(text[begin:end])  # type: ignore[index]
-            if best:
-                out.append({"begin": begin, "end": end, "license": best[1], "dice": best[0]})
-        return out
-
     def run(rows: dict[str, list]) -> dict[str, list]:
-        return {"doc_id": rows["doc_id"], "spans": [of(text) for text in rows["text"]]}
+        return {"doc_id": rows["doc_id"], "spans": [matcher.spans(text) for text in rows["text"]]}
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         per_slice(run, schema), "doc_id long, spans array<struct<begin:long,end:long,license:string,dice:double>>")
