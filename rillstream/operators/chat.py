@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import chat_line, direct_channel
 from .joins import HEAVY_ROWS, salted_join
-from .ordered import block_of, running_sum
+from .ordered import running_sum
 
 
 def fan_out(messages: DataFrame, subscriptions: DataFrame, *,
@@ -27,26 +27,19 @@ def unread_counts(messages: DataFrame, subscriptions: DataFrame, *,
                   block: int = 1 << 16) -> DataFrame:
     """Unread messages per subscription, without building message-subscriber pairs.
 
-    Whole blocks of offsets behind the read position come from running block totals;
-    only the one block the position points into is looked at in detail.
+    One running count over messages and distinct read positions together, by blocks of offsets, gives
+    the messages in front of each position; the rest of the channel is unread.
     """
-    placed = messages.select("channel", "offset", block_of("offset", block).alias("block"))
-    inbox = subscriptions.select("user", "channel", "position",
-                                 block_of("position", block).alias("block"))
-    totals = placed.groupBy("channel", "block").agg(F.count(F.lit(1)).alias("n"))
-    points = inbox.select("channel", "block").distinct().withColumn("n", F.lit(0).cast("long"))
-    cells = totals.unionByName(points).groupBy("channel", "block").agg(F.sum("n").alias("n"))
-    upto = running_sum(cells, "n", "block", "upto", partition_by=["channel"]).drop("n")
-    sizes = totals.groupBy("channel").agg(F.sum("n").alias("size"))
-    heads = inbox.select("channel", "block", "position").distinct()
-    inside = (salted_join(placed, heads, ["channel", "block"], ["offset"])
-              .where("offset >= position")
-              .groupBy("channel", "position").agg(F.count(F.lit(1)).alias("inside")))
-    return (inbox.join(upto, ["channel", "block"]).join(sizes, "channel", "left")
-            .join(inside, ["channel", "position"], "left")
-            .select("user", "channel",
-                    (F.coalesce("size", F.lit(0)) - F.when(F.col("size").isNull(), 0)
-                     .otherwise(F.col("upto")) + F.coalesce("inside", F.lit(0))).alias("unread")))
+    points = subscriptions.select("channel", "position").distinct()
+    # a position comes in front of the message at its offset
+    marks = messages.select("channel", (F.col("offset") * 2 + 1).alias("at"), F.lit(1).alias("w")).unionByName(
+        points.select("channel", (F.col("position") * 2).alias("at"), F.lit(0).alias("w")))
+    read = running_sum(marks, "w", "at", "read", partition_by=["channel"], width=2 * block).where(
+        "w = 0").select("channel", F.expr("at div 2").alias("position"), "read")
+    sizes = messages.groupBy("channel").agg(F.count(F.lit(1)).alias("size"))
+    inbox = salted_join(subscriptions.select("user", "channel", "position"), read.join(sizes, "channel", "left"),
+                        ["channel", "position"], ["user"], "left")
+    return inbox.select("user", "channel", (F.coalesce("size", F.lit(0)) - F.coalesce("read", F.lit(0))).alias("unread"))
 
 
 def latest_positions(reads: DataFrame) -> DataFrame:

@@ -16,13 +16,18 @@ SAMPLE_ROWS = 500_000
 
 _PER_DOUBLING = 64      # first-level cells per power of two
 _LOWEST_EXPONENT = 1080
-_PARTS = 4096           # equal parts a first-level cell is split into
+_OUTMOST = 1 << 20      # cell of infinity, beyond all others
+_PARTS = 4096           # equal parts a cell is split into
+_LEVELS = 2             # times it is split
 
 
 def _magnitude_cell(value: Column) -> Column:
     """Order-preserving cell number; there are at most about 270,000 of them."""
     size = F.floor(F.log2(F.abs(value)) * _PER_DOUBLING) + _LOWEST_EXPONENT * _PER_DOUBLING
-    return F.when(value == 0, 0).when(value > 0, size).otherwise(-size).cast("long")
+    finite = F.when(value == 0, 0).when(value > 0, size).otherwise(-size).cast("long")
+    endless = F.abs(value) == F.lit(float("inf"))
+    return (F.when(F.isnan(value), 2 * _OUTMOST).when(endless & (value > 0), _OUTMOST)
+            .when(endless, -_OUTMOST).otherwise(finite).cast("long"))
 
 
 def _holding(cells: DataFrame, within: Sequence[str], order: str) -> DataFrame:
@@ -44,13 +49,15 @@ def exact_percentiles(df: DataFrame, value: str,
                       percentiles: Sequence[float] = PERCENTILES) -> DataFrame:
     """Exact ``sorted[int(p * n)]`` (from 0) for each p, without sorting the data.
 
-    Counts per magnitude cell find the cell of each rank, counts per part of that cell
-    find the part, and only the distinct values of those parts are ordered.
+    Counts per magnitude cell find the cell of each rank, counts per part of that cell and per
+    part of the part narrow it down, and only the distinct values left (some millions of doubles at most) are
+    ordered. Values keep their type; NaN comes after infinity, nulls do not count.
     """
-    values = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    celled = values.withColumn("cell", _magnitude_cell(F.col("v")))
-    counts = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                                        F.max("v").alias("hi"))
+    values = df.where(F.col(value).isNotNull()).select(
+        F.col(value).alias("v"), F.col(value).cast("double").alias("d"))
+    celled = values.withColumn("cell", _magnitude_cell(F.col("d")))
+    bounds = [F.min("d").alias("lo"), F.max("d").alias("hi")]
+    counts = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *bounds)
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))
     targets = F.array(*[F.struct(
         F.lit(p).alias("p"), F.least(F.floor(F.lit(p) * total), total - 1).alias("rank"))
@@ -59,21 +66,22 @@ def exact_percentiles(df: DataFrame, value: str,
     first = _holding(counts.withColumn("targets", targets).withColumn("g", F.lit(0)),
                      ["g"], "cell").drop("g", "n")
     part = F.when(F.col("hi") > F.col("lo"), F.least(
-        F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * _PARTS),
+        F.floor((F.col("d") - F.col("lo")) / (F.col("hi") - F.col("lo")) * _PARTS),
         F.lit(_PARTS - 1))).otherwise(0).cast("long")
-    parted = celled.join(F.broadcast(first), "cell").withColumn("part", part)
-    second = _narrow(parted, ["cell", "part"], "part")
-    found = parted.drop("rank").join(F.broadcast(second), ["p", "cell", "part"])
-    return _narrow(found, ["v"], "v").select(F.col("p").alias("percentile"),
-                                             F.col("v").alias("value"))
+    left = celled.join(F.broadcast(first), "cell").drop("cell")
+    for _ in range(_LEVELS):
+        parted = left.withColumn("part", part)
+        found = _narrow(parted, "part", *bounds)
+        left = parted.drop("rank", "lo", "hi").join(F.broadcast(found), ["p", "part"]).drop("part")
+    return _narrow(left, "v").select(F.col("p").alias("percentile"), F.col("v").alias("value"))
 
 
-def _narrow(rows: DataFrame, cell: Sequence[str], order: str) -> DataFrame:
-    """Count rows per percentile and cell; keep the cell that holds the percentile's rank."""
-    counts = (rows.groupBy("p", "rank", *cell).agg(F.count(F.lit(1)).alias("n"))
+def _narrow(rows: DataFrame, cell: str, *bounds: Column) -> DataFrame:
+    """Count rows per percentile and cell; keep the cell that holds the percentile's rank, and its bounds."""
+    counts = (rows.groupBy("p", "rank", cell).agg(F.count(F.lit(1)).alias("n"), *bounds)
               .withColumn("targets", F.array(F.struct("p", "rank"))).drop("rank")
               .withColumnRenamed("p", "g"))
-    return _holding(counts, ["g"], order).select("p", "rank", *cell)
+    return _holding(counts, ["g"], cell).drop("g", "n")
 
 
 def latency_report(df: DataFrame, value: str) -> DataFrame:

@@ -28,6 +28,7 @@ from ..session import shared_dir
 CHUNK_WIDTH = 4096      # most rows folded in one array
 CHUNK_FAN = 1024        # chunks put together per second-level group
 INDEX_WIDTH = 1 << 18   # positions per task in a plain running sum
+KEY_PARTS = 64          # parts in which the rows of one key look up whether it is heavy
 _RUN = 64               # states gathered before they are put aside
 
 
@@ -126,6 +127,18 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], most_rows: int) -> DataFrame:
             .where(F.col("__rows") > most_rows).select(*keys, F.lit(True).alias("__heavy")))
 
 
+def marked_heavy(df: DataFrame, keys: Sequence[str], heavy: DataFrame, spread: Sequence[str],
+                 parts: int = KEY_PARTS) -> DataFrame:
+    """Add the columns of ``heavy`` (null for other keys) and ``__part``.
+
+    The rows of a key meet the short list of heavy keys in ``parts`` places, chosen by the columns
+    ``spread``, so a heavy key does not pass through one task even where the list is not broadcast.
+    """
+    copies = heavy.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    part = F.pmod(F.xxhash64(*spread), F.lit(parts)).cast("int")
+    return df.withColumn("__part", part).join(copies, [*keys, "__part"], "left")
+
+
 def _replayed(arrays: DataFrame, start: Column, fold: Fold, keys: Sequence[str],
               columns: Sequence[str]) -> DataFrame:
     """Rows of sorted arrays with the states around them."""
@@ -146,7 +159,8 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], position: str, fold: Fold, *,
     Returns the input columns plus ``before`` and ``after``: the state around each
     row. Keys are counted first (a job over the key columns; only the keys with more than
     ``width`` rows are kept, in the shared checkpoint folder). Without such keys each history
-    is folded as one array, in one shuffle. Heavy keys are cut into chunks of ``width`` positions.
+    is folded as one array, in one shuffle. Heavy keys are cut into chunks of ``width`` positions;
+    the functions of the chunks, one row each, are kept in the shared folder too.
     """
     if df.isStreaming:
         raise ValueError("keyed_scan is a batch operator; see rillstream.streaming.stateful")
@@ -165,14 +179,15 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], position: str, fold: Fold, *,
     if heavy.isEmpty():
         return _replayed(keyed.groupBy("__key").agg(items), fold.initial(), fold, keys, df.columns)
     chunked = (
-        keyed.join(heavy, "__key", "left")
+        marked_heavy(keyed, ["__key"], heavy, ["__pos"])
         .withColumn("chunk", F.when(F.col("__heavy"), block_of("__pos", width))
                     .otherwise(F.lit(-1)).cast("long"))
+        .select("__key", "chunk", "__pos", "row").repartition("__key", "chunk")
         .groupBy("__key", "chunk").agg(items))
     functions = chunked.where("chunk >= 0").select(
         "__key", "chunk",
         F.aggregate("rows", fold.identity(),
-                    lambda acc, r: fold.compose(acc, fold.effect(r["row"]))).alias("fn"))
+                    lambda acc, r: fold.compose(acc, fold.effect(r["row"]))).alias("fn")).checkpoint()
     starts = chunk_starts(functions, fold, fan=fan).withColumn("__known", F.lit(True))
     placed = chunked.join(starts, ["__key", "chunk"], "left").withColumn(
         "start", F.when(F.col("__known"), F.col("start")).otherwise(fold.initial()))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import parse_seconds, sensor_reading
-from ..operators.ordered import dense_index
 
 # Fixed file layouts: the trip file has 17 columns, 7 of which are used; the zone file has 4.
 TRIP_COLUMNS = [
@@ -49,9 +48,21 @@ def zone_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_ride_ids(trips: DataFrame) -> DataFrame:
-    """Ride ids 1, 2, … in file order."""
-    placed = trips.withColumn("__at", F.monotonically_increasing_id())
-    return dense_index(placed, "__at", "ride_id", first=1).drop("__at")
+    """Ride ids 1, 2, … in file order: by path, and by place in the file.
+
+    ``trips`` comes straight from files. Rows are numbered within the block that one task reads; only the
+    counts of the blocks, one row each, are added up in one place.
+    """
+    block = ["__file", "__block"]
+    placed = trips.select("*", F.col("_metadata.file_path").alias("__file"),
+                          F.col("_metadata.file_block_start").alias("__block"),
+                          F.monotonically_increasing_id().alias("__at"))
+    counts = placed.groupBy(*block).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*block, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
+    number = F.row_number().over(Window.partitionBy(*block).orderBy("__at"))
+    return (placed.withColumn("__number", number).join(starts, block)
+            .select(*trips.columns, (F.col("__start") + F.col("__number")).alias("ride_id")))
 
 
 def sensor_lines(spark: SparkSession, path: str) -> DataFrame:
