@@ -38,7 +38,12 @@ def anomaly_alerts(stream: DataFrame) -> DataFrame:
                 bad.append(at)
                 seen.append(names[current])
             current = initial if onward is None else onward
-        state.update((current,))
+        if current == initial:
+            state.remove()      # as if the key had never been seen
+        else:
+            state.update((current,))
+        if not bad:
+            return
         out = rows.iloc[bad][columns].assign(state=seen)
         out.insert(0, "source_address", key[0])
         yield out
@@ -68,7 +73,8 @@ def bookmark_slices(stream: DataFrame, key: str, position: str, of_interest: Col
             state.remove()
         else:
             state.update((pending,))
-        yield pd.DataFrame(found, columns=["__key", "start_offset", "end_offset"])
+        if found:
+            yield pd.DataFrame(found, columns=["__key", "start_offset", "end_offset"])
 
     flags = stream.select(F.col(key).cast("long").alias("__key"),
                           F.col(position).alias("__at"),
