@@ -3,12 +3,14 @@
 Toxic and ordinary texts each have a bigram model: bigrams of the class, below them words of the class, below them counts
 shared by both classes: words, then Kneser-Ney's continuation counts (how many different words come before), and at the bottom
 the word frequencies of all documents.
+Between the words of a class and the shared counts lie the stems of the class: a word leans to a class as all words of its stem do.
 A count is discounted towards what the level below expects, by the usual constant and by what chance explains, so a rare
 expression has the same shared likelihood in both classes unless it clearly belongs to one. A bigram counts once per text, so that one
 long or repetitive text has no more say than others. A text's score
 compares its two log-likelihoods per word, and a logistic curve turns the difference into a number from 0 to 1.
 
-The vocabulary and its frequencies are counted over all documents; words rarer than one in ``MAX_WORDS`` are
+The vocabulary and its frequencies are counted over all documents. A word rarer than one in ``MAX_WORDS`` stands as its
+stem (its first ``STEM`` bytes) with the other rare words of that stem, and if all of them are that rare too, as
 the one rare word, so the vocabulary has a proven size bound, as have the bigrams kept (at least one in ``MAX_BIGRAMS`` of
 the counted ones; the mass of the others goes to the level below). The two models are fitted on all labelled rows up
 to about ``sample_rows`` a class, beyond that on those with the smallest hashes.
@@ -33,10 +35,16 @@ SAMPLE_ROWS = 20_000
 DISCOUNT = 0.75
 #: Standard deviations from the level below that still count as chance.
 REACH = 3.0
+#: Words that say nothing and are counted with each text, so that chance in a text of a few words weighs little.
+NEUTRAL = 10
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 FLUSH = 1 << 18
 _BLANK = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256))
 RARE = 0
+#: Leading bytes of a word that rare words are grouped by.
+STEM = 5
+#: Starts the name of a group of rare words; no word has this byte.
+GROUP = b"\0"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -44,6 +52,12 @@ def words_of(text: str | None) -> list[bytes]:
     return text.lower().encode().translate(_BLANK).split() if text else []
 
 
+def numbered(ids: dict[bytes, int], text: str | None) -> np.ndarray:
+    """The ids of the words of a text, of rare words those of their stems."""
+    words = words_of(text)
+    return np.fromiter((ids.get(word) or ids.get(GROUP + word[:STEM], RARE) for word in words), np.int64, len(words))
+
+
 def fold(doc_id: str) -> Column:
     """crc32 of a doc_id as text, modulo the number of folds; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string")) % FOLDS
@@ -99,7 +113,7 @@ class Model:
         shared = self._below(followers.sum(axis=1), self._below(pooled, base))
         first, second = pairs // size, pairs % size
         self.size, self.pairs = size, pairs
-        single = self._discounted(followers, followers.sum(axis=0) * shared[:, None])
+        single = self._discounted(followers, self._by_stem(words, followers, shared))
         single = single / single.sum(axis=0) if len(followers) and single.sum() else np.stack([shared, shared], 1)
         if size > 1:
             shared, single = shared * (1 - rare), single * (1 - rare)
@@ -123,6 +137,16 @@ class Model:
         np.add.at(out, keys, values)
         return out
 
+    def _by_stem(self, words: list[bytes], followers: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        """Counts of each word that its stem leads to expect in a class of that many words."""
+        stems: dict[bytes, int] = {}
+        of = np.array([0, *(stems.setdefault(word.removeprefix(GROUP)[:STEM], len(stems) + 1) for word in words)])
+        counts, plain = np.zeros((len(stems) + 1, 2)), np.zeros(len(stems) + 1)
+        np.add.at(counts, of, followers)
+        np.add.at(plain, of, shared)
+        leaning = self._discounted(counts, followers.sum(axis=0) * plain[:, None]) / np.maximum(plain, 1e-300)[:, None]
+        return shared[:, None] * leaning[of]
+
     @staticmethod
     def _discounted(counts: np.ndarray, expected: np.ndarray) -> np.ndarray:
         """Counts moved towards what the level below expects, by as much as chance explains."""
@@ -138,14 +162,9 @@ class Model:
         gain = np.maximum(counts - DISCOUNT, 0)
         return (gain + (total - gain.sum()) * lower) / total
 
-    def numbers(self, text: str | None) -> np.ndarray:
-        get = self.ids.get
-        words = words_of(text)
-        return np.fromiter((get(word, RARE) for word in words), np.int64, len(words))
-
     def likelihoods(self, text: str | None) -> tuple[int, float, float]:
         """Number of words, log-likelihood per word as an ordinary and as a toxic text."""
-        ids = self.numbers(text)
+        ids = numbered(self.ids, text)
         if not len(ids):
             return 0, 0.0, 0.0
         total = self.single[ids].sum(axis=0)
@@ -157,7 +176,7 @@ class Model:
                 at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
                 hit = self.pairs[at] == keys
                 total = total + (self.pair[at[hit]] - self.weight[first[hit]] - self.single[second[hit]]).sum(axis=0)
-        ordinary, toxic = total / len(ids)
+        ordinary, toxic = total / (len(ids) + NEUTRAL)
         return len(ids), float(ordinary), float(toxic)
 
 
@@ -166,7 +185,11 @@ def train(docs: DataFrame, sample: DataFrame, max_words: int = MAX_WORDS, max_bi
     spark = docs.sparkSession
     counts = stored(word_counts(docs), "toxic-words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    common = counts.where(F.col("n") * max_words >= total).orderBy("word").collect()
+    often = F.col("n") * max_words >= total
+    rare = counts.where(~often).groupBy(F.concat(F.lit(GROUP), F.substring("word", 1, STEM)).alias("word")).agg(
+        F.sum("n").alias("n"))
+    # words and groups count different tokens, so there are max_words of both at most
+    common = counts.where(often).union(rare.where(often)).orderBy("word").collect()
     words = [bytes(r["word"]) for r in common]
     corpus = np.array([total - sum(r["n"] for r in common), *(r["n"] for r in common)], np.float64)
     size = len(corpus)
@@ -185,8 +208,7 @@ def train(docs: DataFrame, sample: DataFrame, max_words: int = MAX_WORDS, max_bi
         for part in slices(batches):
             rows = part.to_pydict()
             for text, toxic in zip(rows["text"], rows["toxic"]):
-                found = words_of(text)
-                mine = np.fromiter((ids.value.get(word, RARE) for word in found), np.int64, len(found))
+                mine = numbered(ids.value, text)
                 if len(mine) > 1:
                     known = (mine[:-1] != RARE) & (mine[1:] != RARE)
                     held.append(np.unique((mine[:-1] * size + mine[1:])[known]) * 2 + toxic)  # once per text
