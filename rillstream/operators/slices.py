@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
 from .joins import events_in_slices
 from .ordered import CHUNK_WIDTH, INDEX_WIDTH, Fold, dense_index, keyed_scan
 
@@ -47,9 +48,14 @@ def read_slices(log: DataFrame, cuts: DataFrame) -> DataFrame:
     """Events of many streams, each within its own cut pair.
 
     ``cuts``: stream, segment_id, start_offset, end_offset (null = unbounded). A
-    (stream, segment) without a row is not read.
+    (stream, segment) without a row is not read. The cuts are stored first: the planner then knows their size
+    and sends few of them to the scan by itself; where there are many, both sides of the join have plain exchanges,
+    so adaptive execution splits busy segments.
     """
-    joined = log.join(cuts, ["stream", "segment_id"])
+    spark = log.sparkSession
+    path = fresh_path(spark, "cuts")
+    cuts.select("stream", "segment_id", "start_offset", "end_offset").write.parquet(path)
+    joined = log.join(spark.read.parquet(path), ["stream", "segment_id"])
     return joined.where(
         (F.col("start_offset").isNull() | (F.col("offset") >= F.col("start_offset")))
         & (F.col("end_offset").isNull() | (F.col("offset") < F.col("end_offset")))

@@ -153,13 +153,16 @@ def read_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "l_quantity")
 
 
-@query(f"""SELECT "offset", event, 'a' AS source FROM {LOG} WHERE stream = 'click'
-  UNION ALL SELECT "offset", event, 'b' FROM {LOG} WHERE stream = 'view'""")
+STREAMS = ("click", "error", "purchase", "signup", "view")
+
+
+@query(f"""SELECT "offset", event, 'from-' || stream AS source FROM {LOG}
+  WHERE stream IN {STREAMS}""")
 def union_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = inputs.log(spark, sf_dir)
     return slices.union_streams([
-        log.where(F.col("stream") == name).select("offset", "event", F.lit(tag).alias("source"))
-        for name, tag in (("click", "a"), ("view", "b"))])
+        log.where(F.col("stream") == name).select("offset", "event", F.lit(f"from-{name}").alias("source"))
+        for name in STREAMS])
 
 
 @query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.'

@@ -12,7 +12,7 @@ from .registry import query
 
 # Fixed writer versions of the evolving record and the default of its later field.
 WRITER_FIELDS = {1: ["a"], 2: ["a", "b"]}
-DEFAULTS = {"b": "backwardPolicy compatible with schema1"}
+DEFAULTS = {"b": "not written by version 1"}
 
 
 @query(f"""SELECT event_id, version, name AS a,
@@ -60,12 +60,15 @@ _TYPED = """event_id, type, CASE WHEN type = 'Type1' THEN name END AS a,
 
 
 @query(f"""SELECT {_TYPED}, CASE WHEN type = 'Type3' THEN name END AS f,
-  CASE WHEN type = 'Type3' THEN k END AS g FROM {MIXED} WHERE type <> 'Record'""")
+  CASE WHEN type = 'Type3' THEN k END AS g, CASE WHEN type = 'Type3' THEN name END AS h,
+  CASE WHEN type = 'Type3' THEN name END AS i, CASE WHEN type = 'Record' THEN name END AS record_a,
+  CASE WHEN type = 'Record' AND version = 2 THEN 'value' END AS record_b FROM {MIXED}""")
 def typed_demux(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = schemas.of_types(inputs.mixed_stream(spark, sf_dir), list(TYPED))
-    return schemas.demultiplex(known, TYPED).select(
+    known = {**TYPED, "Record": "a string, b string"}
+    return schemas.demultiplex(inputs.mixed_stream(spark, sf_dir), known).select(
         "event_id", "type", "type1.a", "type1.b", "type2.c", "type2.d", "type2.e", "type3.f",
-        "type3.g")
+        "type3.g", "type3.h", "type3.i", F.col("record.a").alias("record_a"),
+        F.col("record.b").alias("record_b"))
 
 
 @query(f"""SELECT {_TYPED}, CASE WHEN type = 'Type3' THEN name END AS generic_f,
@@ -139,5 +142,4 @@ def codec_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT {_CODEC} AS codec, count(*) AS events FROM documents GROUP BY 1")
 def codecs_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = inputs.table(spark, sf_dir, "documents").select(F.expr(_CODEC).alias("codec"))
-    return schemas.codecs_seen(documents)
+    return schemas.codecs_seen(_coded(spark, sf_dir))
