@@ -73,7 +73,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
     return out.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 

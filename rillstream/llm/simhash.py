@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import shingles
 from .common import per_slice, stored
 from .graphs import components
 
@@ -80,13 +81,15 @@ def _around(fp: Column) -> Column:
     return F.array(fp, *(fp.bitwiseXOR(F.lit(_signed(1 << i)).cast("long")) for i in range(BITS)))
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b), a > b, that connect just the fingerprints within two bits of each other.
+def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links (a, b), a > b, that connect just the fingerprints within ``radius`` (1 or 2) bits of each other.
 
-    ``distinct`` has one column fp without repeats. Links are stars around the smallest fingerprint
+    ``distinct`` has one column fp without repeats. For two bits links are stars around the smallest fingerprint
     next to a shared point; they connect what all pairs would connect.
     """
-    masks = covering_masks()
+    if radius not in (1, 2):
+        raise ValueError("fingerprints are linked within 1 or 2 bits; shingles.keep_one finds less similar texts")
+    masks = covering_masks(radius)
     entries = distinct.select("fp", F.posexplode(F.array(*(
         F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks))).alias("t", "key"))
     # the smallest and the largest fingerprint of an entry differ just if it has two or more
@@ -95,22 +98,25 @@ def links(distinct: DataFrame) -> DataFrame:
     crowded = stored(crowded, "simhash-entries")
     found = entries.join(crowded, ["t", "key"]).select("fp").distinct()
     points = found.select("fp", F.explode(_around(F.col("fp"))).alias("point"))
+    if radius == 1:
+        return points.join(found.select(F.col("fp").alias("b")), F.col("point") == F.col("b")).where("fp > b").select(
+            F.col("fp").alias("a"), "b")
     stars = points.groupBy("point").agg(F.sort_array(F.collect_list("fp")).alias("fps")).where(
         F.size("fps") > 1)  # at most 65 each
     return stars.select(F.element_at("fps", 1).alias("b"), F.explode("fps").alias("a")).where(
         "a > b").select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text, anything else).
 
-    Rows whose fingerprints differ in at most two bits are linked; component_id is the smallest
+    Rows whose fingerprints of ``words``-word shingles differ in at most ``radius`` bits are linked; component_id is the smallest
     doc_id that links reach. Null and empty texts have fingerprint zero and are linked like others.
     Rows that repeat a doc_id stay as rows; a null doc_id counts only where a component has no other.
     """
-    rows = stored(fingerprints(docs), "simhash-rows")
+    rows = stored(fingerprints(docs, words), "simhash-rows")
     smallest = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    edges = stored(links(smallest.select("fp")), "simhash-links")
+    edges = stored(links(smallest.select("fp"), radius), "simhash-links")
     roots = components(edges)
     classes = smallest.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -120,17 +126,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The row of the smallest doc_id of each component, with the columns of ``docs``.
-
-    Of rows that share this doc_id one stays.
-    """
-    found = near_duplicates(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        F.lit(1).alias("n")).select(F.col("doc_id").alias("__keep"))
-    keep = stored(keep, "simhash-keep")
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__keep")), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+def keep_one(docs: DataFrame, words: int = shingles.WORDS, similarity: float = shingles.SIMILARITY) -> DataFrame:
+    """One row of each group of near copies, by the similarity of word shingles: see ``shingles.keep_one``."""
+    return shingles.keep_one(docs, words, similarity)
 
 
 def hexadecimal(fp: Column) -> Column:

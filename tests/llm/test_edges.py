@@ -243,3 +243,43 @@ def test_pipeline_stages(spark, request, which):
             assert out.columns == current.columns
         current = out.cache()
         assert (current.count() == 0) == (which == "empty")
+
+
+def test_near_copies_of_many_differing_bits_are_found(spark):
+    import random
+
+    rng = random.Random(3)
+    docs, far = [], 0
+    for i in range(300):
+        words = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        near = list(words)
+        near[30] = "changed"  # 51 of 61 shingles are shared: 0.836
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, "  ".join(near).upper())]
+        far += (brute.fingerprint(docs[-1][1]) ^ brute.fingerprint(docs[-2][1])).bit_count() > 2
+    less = [f"v{j}" for j in range(60)]
+    docs += [(9000, " ".join(less)), (9001, " ".join("x" if j in (20, 40) else w for j, w in enumerate(less)))]  # 46 of 66
+    assert far > 200
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.keep_one(frame).collect()) == [*range(0, 600, 2), 9000, 9001]
+    assert simhash.keep_one(frame, words=1, similarity=0.9).count() == 301  # 9000 and 9001 share 58 of 61 words
+    assert simhash.keep_one(frame, words=5, similarity=0.6).count() == 301
+
+
+def test_members_of_a_bucket_are_compared_beyond_its_smallest(spark):
+    words = [f"w{j}" for j in range(200)]
+    texts = [" ".join(f"y{k}" if j >= 200 - 18 * k else w for j, w in enumerate(words)) for k in range(6)]  # a chain
+    got = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    plain = [set(zip(*(t.split()[i:] for i in range(5)))) for t in texts]
+    root = list(range(6))
+    for i in range(6):
+        for j in range(i):
+            if len(plain[i] & plain[j]) / len(plain[i] | plain[j]) >= 0.8:
+                root = [root[j] if r == root[i] else r for r in root]
+    assert sorted(r["doc_id"] for r in got) == sorted({root.index(r) for r in root})
+
+
+def test_links_within_one_bit(spark):
+    edges = simhash.links(spark.createDataFrame([(0,), (1,), (3,), (48,)], "fp long"), radius=1)
+    assert sorted(map(tuple, edges.collect())) == [(1, 0), (3, 1)]
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(0,)], "fp long"), radius=3)
