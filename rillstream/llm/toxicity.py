@@ -274,13 +274,8 @@ def curve(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-3) ->
     return float(beta[0] / scale), float(beta[1])
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text, anything else).
-
-    Texts are scored by their words alone. Null and empty texts have no words and get the score of a text that is
-    as likely toxic as ordinary; without labels all scores are below 0.5. Repeated rows are scored each; a null doc_id
-    is not held out. Labels are learned only from documents of the other folds.
-    """
+def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Broadcast, float, float]:
+    """The class models of the labelled rows, sent to the tasks, with the slope and offset of the score."""
     spark = docs.sparkSession
     sample = stored(labelled(labels, sample_rows), "toxic-sample")
     model = spark.sparkContext.broadcast(train(docs, sample))
@@ -289,6 +284,17 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     known = likelihoods(chosen, model).join(
         F.broadcast(sample.select(F.col("doc").alias("doc_id"), F.col("toxic").alias("y"))), "doc_id").toPandas()
     slope, offset = curve((known["toxic"] - known["ordinary"]).to_numpy(float), known["y"].to_numpy(float))
+    return model, slope, offset
+
+
+def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text, anything else).
+
+    Texts are scored by their words alone. Null and empty texts have no words and get the score of a text that is
+    as likely toxic as ordinary; without labels all scores are below 0.5. Repeated rows are scored each; a null doc_id
+    is not held out. Labels are learned only from documents of the other folds.
+    """
+    model, slope, offset = fitted(docs, labels, sample_rows)
     score = 1 / (1 + F.exp(-(F.lit(slope) * (F.col("toxic") - F.col("ordinary")) + F.lit(offset))))
     return likelihoods(docs, model).select(
         "doc_id", F.coalesce(fold("doc_id") == HELD_OUT, F.lit(False)).alias("held_out"), score.alias("score"),
@@ -298,8 +304,16 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
 def keep_ordinary(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with the columns of ``docs``.
 
-    The verdict is by doc_id: of rows that share one, all go if one is rejected.
+    Every row is judged by its own text; no other row's verdict counts, whatever their doc_id.
     """
-    bad = scored(docs, labels, sample_rows).where("predicted = 1").select("doc_id").distinct()
-    bad = stored(bad, "toxic-rejected").withColumnRenamed("doc_id", "__bad")
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__bad")), "left_anti")
+    model, slope, offset = fitted(docs, labels, sample_rows)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            texts = part.column(part.schema.get_field_index("text")).to_pylist()
+            found = [model.value.likelihoods(text) for text in texts]
+            odds = np.array([slope * (f[2] - f[1]) + offset for f in found])
+            with np.errstate(over="ignore"):
+                yield part.filter(pa.array(1 / (1 + np.exp(-odds)) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -283,3 +283,20 @@ def test_links_within_one_bit(spark):
     assert sorted(map(tuple, edges.collect())) == [(1, 0), (3, 1)]
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(0,)], "fp long"), radius=3)
+
+
+def test_ids_do_not_decide_for_other_texts(spark):
+    rows = [(None, f"text number {i} of its own with words{i} more{i} and{i} others{i}") for i in range(20)]
+    rows += [(7, "one text under a shared id of its own"), (7, "quite another text that has the same id as that")]
+    rows += [(None, rows[0][1]), (3, rows[1][1]), (7, rows[20][1]), (None, None), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["text"] or "") for r in simhash.keep_one(frame).collect()), key=str)
+    expected = [(3 if i == 1 else None, rows[i][1]) for i in range(20)] + [*rows[20:22], (None, "")]
+    assert got == sorted(expected, key=str)
+
+    known = [(i, ("vile nasty insult words" if i % 2 else "calm kind plain words") + f" x{i % 7}") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    more = [(None, "vile nasty insult words"), (None, "calm kind plain words"), (500, "vile nasty insult"), (500, "calm kind plain")]
+    kept = toxicity.keep_ordinary(spark.createDataFrame(known + more, "doc_id long, text string"), labels)
+    left = {(r["doc_id"], r["text"]) for r in kept.collect()}
+    assert {more[1], more[3]} <= left and not {more[0], more[2]} & left
