@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, linededup, mixing, pii, quality, simhash, toxicity, webpages
+from . import chat, decontamination, licenses, linededup, merkle, mixing, pii, quality, simhash, toxicity, webpages
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,9 +77,32 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = merkle.leaf_digest(*map(F.col, ("doc_id", "source", "lang")), F.col("n_chars") + 1, F.col("text"))
+    out = merkle.manifest(docs, by="lang", order="doc_id", columns=("doc_id", "source", "lang", "n_chars", "text"),
+                          carry={"changed": F.when(hit, changed)})
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("path"))
+    out = out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+                     folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_line_dedup, op2_license_scan, op3_source_mix, op4_decontamination, op5_personal_data, op6_toxicity,
-    op7_chat_format, op8_quality_rules, op9_html_extraction, op10_simhash_near_dedup)}
+    op7_chat_format, op8_quality_rules, op9_html_extraction, op10_simhash_near_dedup,
+    op11_merkle_manifest)}
+
+def _framed(*values: str) -> str:
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values) + ")"
+
+
+#: Unsigned crc32 of decimal text, bit by bit.
+_CRC32 = """xor(list_reduce(list_transform(string_split({}, ''), lambda c: ord(c)::UBIGINT), lambda sum, byte: list_reduce(
+    range(8)::UBIGINT[], lambda part, i: xor(part >> 1, 3988292384::UBIGINT * (part & 1)), xor(sum, byte)), 4294967295::UBIGINT),
+    4294967295::UBIGINT)"""
 
 _SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -136,4 +159,42 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
     sum(upto) FILTER (WHERE role = 'assistant' OR n = total)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE rows AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS grp, {_framed("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+        CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 7 = 0
+            THEN {_framed("doc_id", "source", "lang", "(n_chars + 1)", "text")} END AS changed
+    FROM documents),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY grp) AS n FROM rows),
+tree AS (
+    SELECT grp, 0 AS level, pos, n, leaf AS node FROM leaves
+    UNION ALL
+    SELECT grp, level + 1, pos // 2, (n + 1) // 2, sha256(node || coalesce(other, ''))
+    FROM (SELECT *, lead(node) OVER (PARTITION BY grp ORDER BY pos) AS other FROM tree WHERE n > 1) WHERE pos % 2 = 0),
+subroots AS (
+    SELECT grp, node, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+    SELECT 0 AS level, pos, n, node FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 2, (n + 1) // 2, sha256(node || coalesce(other, ''))
+    FROM (SELECT *, lead(node) OVER (ORDER BY pos) AS other FROM top WHERE n > 1) WHERE pos % 2 = 0),
+climb AS (
+    SELECT doc_id, grp, leaf, pos AS id, 0 AS level, pos, n, coalesce(changed, leaf) AS cur, '' AS proof FROM leaves
+    UNION ALL
+    SELECT c.doc_id, c.grp, c.leaf, c.id, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+        sha256(CASE WHEN c.pos % 2 = 1 THEN s.node || cur ELSE cur || coalesce(s.node, '') END), proof || coalesce(s.node, '')
+    FROM climb AS c LEFT JOIN tree AS s ON s.grp = c.grp AND s.level = c.level AND s.pos = xor(c.pos, 1) WHERE c.n > 1),
+ended AS (
+    SELECT doc_id, leaf, c.grp, c.id, s.node AS subroot, s.pos, s.n, cur, proof
+    FROM climb AS c JOIN subroots AS s USING (grp) WHERE c.n = 1),
+climb2 AS (
+    SELECT doc_id, leaf, grp, id, subroot, 0 AS level, pos, n, cur, proof FROM ended
+    UNION ALL
+    SELECT c.doc_id, c.leaf, c.grp, c.id, c.subroot, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+        sha256(CASE WHEN c.pos % 2 = 1 THEN s.node || cur ELSE cur || coalesce(s.node, '') END), proof || coalesce(s.node, '')
+    FROM climb2 AS c LEFT JOIN top AS s ON s.level = c.level AND s.pos = xor(c.pos, 1) WHERE c.n > 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM climb2, (SELECT node AS root FROM top WHERE n = 1) WHERE n = 1""",
 }
