@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, linededup, merkle, mixing, pii, quality, simhash, toxicity, webpages
+from . import chat, decontamination, licenses, linededup, merkle, mixing, pii, quality, runs, simhash, toxicity, webpages
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,10 +89,37 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) where every tenth text by crc32 of its doc_id repeats a stretch of its words to the end."""
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    n, g = F.size("words"), F.expr("h div 10")
+    docs = docs.withColumn("words", words).withColumn("plan", F.when(n > 0, F.struct((g % n).alias("a"), (g % 8 + 3).alias("d"))))
+    a = F.col("plan.a")
+    docs = docs.withColumn("p", F.expr("1 + (size(words) - plan.a) div plan.d"))
+    # bound once, not once per word
+    at = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % F.col("p")))
+    text = F.array_join(F.transform(F.arrays_zip(F.array("words").alias("w"), F.array(at).alias("at")), lambda x: F.array_join(
+        F.transform(x["at"], lambda i: F.get(x["w"], i.cast("int"))), " ")), "")
+    return docs.select("doc_id", F.when(n > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.periodic_runs(_repeating(table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.reduce("runs", none, lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.select("doc_id", "runs", "collapsed", best.alias("best"), F.array_join(line, "").alias("lines")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_line_dedup, op2_license_scan, op3_source_mix, op4_decontamination, op5_personal_data, op6_toxicity,
     op7_chat_format, op8_quality_rules, op9_html_extraction, op10_simhash_near_dedup,
-    op11_merkle_manifest)}
+    op11_merkle_manifest, op13_periodic_runs)}
 
 def _framed(*values: str) -> str:
     return "sha256(" + " || ".join(
