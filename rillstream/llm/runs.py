@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -156,7 +156,10 @@ def text_runs(texts: list[str | None], least_words: int = LEAST_WORDS) -> list[t
     numbers: dict[bytes, int] = defaultdict(count().__next__)
     words = [(text or "").encode().split() for text in texts]
     breaks = np.cumsum([len(w) + 1 for w in words]) - 1
-    flat = np.fromiter((numbers[x] for w in words for x in (*w, b" ")), np.int64, int(breaks[-1]) + 1 if words else 0)
+    flat = np.empty(int(breaks[-1]) + 1 if words else 0, np.int64)
+    said = np.ones(len(flat), bool)
+    said[breaks] = False
+    flat[said] = np.fromiter(map(numbers.__getitem__, chain.from_iterable(words)), np.int64, len(flat) - len(breaks))
     flat[breaks] = -1 - np.arange(len(breaks))
     out: list[list[tuple[int, int, int]]] = [[] for _ in words]
     for first, end, period in find_runs(flat, breaks, least_words):
