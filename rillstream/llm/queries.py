@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, linededup, merkle, mixing, pii, quality, runs, simhash, toxicity, webpages
+from . import (
+    chat, decontamination, licenses, linededup, merkle, minhash, mixing, pii, quality, runs, simhash, toxicity, webpages)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +105,11 @@ def _repeating(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.when(n > 0, text).otherwise(F.col("text")).alias("text"))
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=0.8)
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runs.periodic_runs(_repeating(table(spark, sf_dir, "documents")))
     none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
@@ -119,7 +125,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_line_dedup, op2_license_scan, op3_source_mix, op4_decontamination, op5_personal_data, op6_toxicity,
     op7_chat_format, op8_quality_rules, op9_html_extraction, op10_simhash_near_dedup,
-    op11_merkle_manifest, op13_periodic_runs)}
+    op11_merkle_manifest, op12_minhash_near_dedup, op13_periodic_runs)}
 
 def _framed(*values: str) -> str:
     return "sha256(" + " || ".join(

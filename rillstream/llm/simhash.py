@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import shingles
+from . import minhash
 from .common import per_slice, stored
 from .graphs import components
 
@@ -88,7 +88,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     next to a shared point; they connect what all pairs would connect.
     """
     if radius not in (1, 2):
-        raise ValueError("fingerprints are linked within 1 or 2 bits; shingles.keep_one finds less similar texts")
+        raise ValueError("fingerprints are linked within 1 or 2 bits; minhash.keep_one finds less similar texts")
     masks = covering_masks(radius)
     entries = distinct.select("fp", F.posexplode(F.array(*(
         F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")) for m in masks))).alias("t", "key"))
@@ -126,9 +126,9 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = shingles.WORDS, similarity: float = shingles.SIMILARITY) -> DataFrame:
-    """One row of each group of near copies, by the similarity of word shingles: see ``shingles.keep_one``."""
-    return shingles.keep_one(docs, words, similarity)
+def keep_one(docs: DataFrame, words: int = minhash.WORDS, similarity: float = minhash.SIMILARITY) -> DataFrame:
+    """One row of each group of near copies, by the similarity of word shingles: see ``minhash.keep_one``."""
+    return minhash.keep_one(docs, words, similarity)
 
 
 def hexadecimal(fp: Column) -> Column:
