@@ -123,7 +123,7 @@ def test_winnowing_finds_every_long_shared_span():
         item = [f"w{rng.randrange(4)}" for _ in range(rng.randrange(20))] + shared + ["z"]
         text = [f"w{rng.randrange(4)}" for _ in range(rng.randrange(30))] + shared + [f"w{rng.randrange(4)}" for _ in range(8)]
         index = decontamination.Benchmark([("i", " ".join(item))])
-        spans, _ = index.hits(text)
+        spans, _ = index.hits([word.encode() for word in text])
         hit = sum(b - a for a, b in decontamination.merged(spans))
         assert hit == brute.contamination([(1, " ".join(text))], [("i", " ".join(item))])[0][2] >= 10
 

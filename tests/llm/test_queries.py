@@ -156,11 +156,23 @@ def test_decontamination_matches_plain(spark, docs):
     bench += [("short", "the and"), ("one", "that"), ("none", "..."), (None, "the of and"), ("null", None), ("again", bench[0][1])]
     table = spark.createDataFrame([(None if n is None else str(n), t) for n, t in bench], "item_id string, text string")
     frame = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    expected = brute.contamination([(d, r["text"]) for d, r in docs.items()], [b for b in bench if b[0] is not None])
-    for block_bytes in (8 << 20, 2000):  # one block; several
-        got = decontamination.contaminated_spans(frame, table, block_bytes=block_bytes).collect()
-        assert {(r["doc_id"], r["n_words"], sum(s["end"] - s["begin"] for s in r["spans"]), tuple(r["items"])) for r in got} == {
-            (d, n, hit, tuple(names)) for d, n, hit, names in expected}
+    # an item without an id marks words and has no name
+    expected = brute.contamination([(d, r["text"]) for d, r in docs.items()], bench)
+    got = decontamination.contaminated_spans(frame, table).collect()
+    assert {(r["doc_id"], r["n_words"], sum(s["end"] - s["begin"] for s in r["spans"]), tuple(r["items"])) for r in got} == {
+        (d, n, hit, tuple(x for x in names if x != "None")) for d, n, hit, names in expected}
+    # short items remove no documents
+    left = decontamination.remove_contaminated(frame, table.where("item_id in ('short', 'one') or item_id is null"), least_words=5)
+    assert left.count() == len(docs)
+
+
+def test_decontamination_with_a_crowded_bit_array(spark, docs, monkeypatch):
+    frame = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    want = {(r["doc_id"], tuple(r["items"])) for r in decontamination.contaminated_spans(frame, bench).collect()}
+    monkeypatch.setattr(decontamination, "MOST_BITS", 13)
+    monkeypatch.setattr(decontamination, "SENT_KEYS", 0)
+    assert {(r["doc_id"], tuple(r["items"])) for r in decontamination.contaminated_spans(frame, bench).collect()} == want
 
 
 def test_line_dedup_without_filter_is_the_same(spark, docs):
