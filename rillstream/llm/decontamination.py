@@ -173,7 +173,7 @@ def _items(benchmark: DataFrame, span: int, k: int, least_words: int) -> tuple[D
 
 def _bits(values: DataFrame) -> Broadcast:
     """A bit array of the fingerprints ``value``, of MOST_BITS bits at most, sent to the tasks."""
-    width = min(MOST_BITS, max(13, (16 * values.count()).bit_length()))
+    width = min(MOST_BITS, max(13, (4096 * values.count()).bit_length()))
     place = F.shiftrightunsigned("value", 64 - width)
     rows = values.select(F.shiftright(place, 3).alias("byte"), (place % 8).cast("int").alias("bit")).groupBy("byte").agg(
         *(F.max(F.col("bit") == i).alias(f"b{i}") for i in range(8))).toArrow()  # a row for each byte of the array at most

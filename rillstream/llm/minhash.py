@@ -1,16 +1,16 @@
 """Near copies by the Jaccard similarity of word shingles: MinHash bands, odd sketches, then exact confirmation on whole sets.
 
-A class is all rows with the same words (A-Z lower-cased, white space as one blank); its key is 128 bits of native hashes of them. Per class
+A class is all rows with the same words (A-Z lower-cased, white space as one blank); its key is a 128-bit hash of them. Per class
 BANDS bucket numbers come from BANDS x BAND_ROWS minima of its shingle hashes. Two classes of similarity s share a bucket with probability
 1 - (1 - s^5)^32: 0.999997 at 0.8, more above. The same minima are folded into an odd sketch: each flips one of SKETCH_BITS
 bits. The minima that two classes do not share flip the bits of the exclusive or of their sketches, so its population count
 tells how many those are, the more exactly the fewer. Candidates with more odd bits than a pair at the wanted similarity has
 (with six standard deviations to spare) are dropped, and of the others the one with the fewest is compared first.
 
-No step lists the pairs of a bucket. Each bucket compares its members with one pivot, drawn anew per bucket, so a class meets
-up to 32 pivots: first the one most like it, then those not in its component yet. Buckets that still hold several components are
-refined by rare shingles: two sets of similarity s share one of their ceil((1 - s) n) + 1 rarest shingles (prefix filter), so only classes that share
-such a shingle are compared: again with a pivot per shingle first, and then pair by pair what is left in different components.
+Buckets compare their members with a pivot, first each with the pivot most like it, then those not in its component yet, and in
+further turns with other pivots where a bucket still holds several components. What is left there is refined by rare shingles: two sets of
+similarity s share one of their ceil((1 - s) n) + 1 rarest shingles (prefix filter), so only classes that share
+such a shingle and are in different components are compared pair by pair.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 from math import sqrt
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -37,30 +38,44 @@ SENT_KEYS = 1 << 20
 _DRAWN = np.random.default_rng(SEED)
 FACTORS = _DRAWN.integers(0, 1 << 64, (BANDS * BAND_ROWS, 1), np.uint64, endpoint=False) | np.uint64(1)
 OFFSETS = _DRAWN.integers(0, 1 << 64, (BANDS * BAND_ROWS, 1), np.uint64, endpoint=False)
+#: Every turn of pivots ranks the nodes by another order.
+TURNS = [0, *(int(x) for x in _DRAWN.integers(1 << 20, 1 << 62, 3))]
 SALTS = _DRAWN.integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64, endpoint=False)
 
 
-def normal(text: Column) -> Column:
+def spoken(text: str | None) -> bytes:
     """The words of a text, A-Z lower-cased, with one blank between them."""
-    lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " "))
+    return b" ".join((text or "").encode().lower().split())
 
 
-def keyed(docs: DataFrame, *columns: str) -> DataFrame:
-    """(``columns``, k1, k2, text) with the words of each text and the 128 bits that stand for them."""
-    rows = docs.select(*columns, normal(F.col("text")).alias("text"))
-    return rows.select(*columns, F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(SEED), "text").alias("k2"), "text")
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
 
 
-def shingles(words_of_text: str, words: int = WORDS) -> np.ndarray:
-    """Distinct 64-bit hashes of the word shingles of a normal text; fewer words are one shingle, none gives none."""
+def key_of(words_of_text: bytes) -> tuple[int, int]:
+    """128 bits that stand for the words of a text."""
+    value = xxhash.xxh3_128_intdigest(words_of_text, SEED)
+    return _signed(value >> 64), _signed(value & (1 << 64) - 1)
+
+
+def keys(text: Column) -> Column:
+    """(k1, k2) of a text column."""
+
+    @F.pandas_udf("k1 long, k2 long")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([key_of(spoken(text)) for text in texts], columns=["k1", "k2"], dtype="int64")
+
+    return run(text)
+
+
+def shingles(words_of_text: bytes, words: int = WORDS) -> np.ndarray:
+    """Distinct 64-bit hashes of the word shingles of ``spoken`` words; fewer words are one shingle, none gives none."""
     if not words_of_text:
         return np.empty(0, np.uint64)
-    joined = words_of_text.encode()
-    ends = [*(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32).tolist()), len(joined)]
+    ends = [*(np.flatnonzero(np.frombuffer(words_of_text, np.uint8) == 32).tolist()), len(words_of_text)]
     starts = [0, *(end + 1 for end in ends[:-1])]
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1:] or ends[-1:])], np.uint64))
+    return np.unique(np.array([digest(words_of_text[a:b], SEED) for a, b in zip(starts, ends[words - 1:] or ends[-1:])], np.uint64))
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
@@ -110,20 +125,22 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
               ("buckets", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
 
     def run(rows: dict[str, list]) -> dict[str, list]:
-        found = [shingles(text, words) for text in rows["text"]]
+        said = [spoken(text) for text in rows["text"]]
+        found = [shingles(x, words) for x in said]
         least = [minima(f) if len(f) else None for f in found]
-        return {"doc_id": rows["doc_id"], "k1": rows["k1"], "k2": rows["k2"], "n": [len(f) for f in found],
+        k1, k2 = zip(*map(key_of, said))
+        return {"doc_id": rows["doc_id"], "k1": k1, "k2": k2, "n": [len(f) for f in found],
                 "buckets": [buckets(x) if x is not None else [] for x in least],
                 "sketch": [odd_sketch(x) if x is not None else [] for x in least]}
 
-    return keyed(docs.withColumn("doc_id", F.col("doc_id").cast("long")).select("doc_id", "text"), "doc_id").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         per_slice(run, pa.schema(fields)),
         "doc_id long, k1 long, k2 long, n long, buckets array<long>, sketch array<long>")
 
 
-def classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(node, k1, k2, first, copies, n, buckets, sketch) of every class, numbered: its smallest doc_id and its rows."""
-    return signatures(docs, words).groupBy("k1", "k2").agg(
+def classes(rows: DataFrame) -> DataFrame:
+    """(node, k1, k2, first, copies, n, buckets, sketch) of every class of ``signatures``, numbered: its smallest doc_id and its rows."""
+    return rows.groupBy("k1", "k2").agg(
         F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id())
 
@@ -138,9 +155,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Data
     fields = [("node", pa.int64()), ("hashes", pa.list_(pa.int64()))]
 
     def run(rows: dict[str, list]) -> dict[str, list]:
-        return {"node": rows["node"], "hashes": [shingles(text, words).view(np.int64) for text in rows["text"]]}
+        return {"node": rows["node"], "hashes": [shingles(spoken(text), words).view(np.int64) for text in rows["text"]]}
 
-    texts = keyed(docs).join(bounded(wanted), ["k1", "k2"]).select("node", "text")
+    texts = docs.select("text", keys(F.col("text")).alias("key")).select("text", "key.*").join(
+        bounded(wanted), ["k1", "k2"]).select("node", "text")
     # copies in a partition give one row; their sets are the same
     return texts.mapInArrow(per_slice(run, pa.schema(fields)), "node long, hashes array<long>").groupBy("node").agg(
         F.first("hashes").alias("hashes"))
@@ -155,21 +173,28 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return met.where(similar(F.size("x"), F.size("y"), both, similarity)).select("a", "b")
 
 
-def _starred(members: DataFrame, bucket: str) -> DataFrame:
-    """(``bucket``, node, pivot, size) of members (``bucket``, node) beside the pivot of their bucket, which a hash of the bucket draws."""
-    drawn = F.col("node").bitwiseXOR(F.col(bucket))
+def _starred(members: DataFrame, bucket: str, turn: int) -> DataFrame:
+    """(``bucket``, node, pivot, size) of members (``bucket``, node) beside the pivot of their bucket.
+
+    In one turn all buckets rank nodes alike, so buckets with the same members have the same pivot; another turn ranks them anew.
+    """
+    drawn = F.col("node").bitwiseXOR(F.lit(TURNS[turn]))
     pivots = members.groupBy(bucket).agg(F.min(drawn).alias("lo"), F.max(drawn).alias("hi"), F.count("*").alias("size")).where(
-        "lo < hi").select(bucket, F.col("lo").bitwiseXOR(F.col(bucket)).alias("pivot"), "size")
+        "lo < hi").select(bucket, F.col("lo").bitwiseXOR(F.lit(TURNS[turn])).alias("pivot"), "size")
     return stored(members.join(stored(pivots, "near-pivots"), bucket).where("node <> pivot"), "near-members")
 
 
+def _odd(one: str, other: str) -> Column:
+    """Population count of the exclusive or of two sketches."""
+    return sum((F.bit_count(F.get(one, F.lit(i)).bitwiseXOR(F.get(other, F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
+
+
 def _likely(pairs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """The pairs (node, pivot) whose sizes and sketches allow the similarity, with their ``odd`` bits."""
     other = found.select(F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("sketch").alias("other"))
     met = pairs.join(found.select("node", "n", "sketch"), "node").join(other, "pivot")
-    odd = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("other", F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
     fits = F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m") - 1e-9
-    return met.where(fits).select("node", "pivot", odd.alias("odd")).where(F.col("odd") <= most_odd_bits(similarity))
+    return met.where(fits).select("node", "pivot", _odd("sketch", "other").alias("odd")).where(F.col("odd") <= most_odd_bits(similarity))
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -188,7 +213,7 @@ def _mixed(members: DataFrame, roots: DataFrame, bucket: str) -> DataFrame:
 
 def near_links(found: DataFrame, docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """Links (a, b) between nodes of ``found`` (see ``classes``) that connect what all alike pairs that share a bucket would connect."""
-    members = _starred(found.select(F.explode("buckets").alias("bucket"), "node"), "bucket")
+    members = _starred(found.select(F.explode("buckets").alias("bucket"), "node"), "bucket", 0)
     stars = stored(_likely(members.select("node", "pivot").distinct(), found, similarity), "near-stars")
     # a bucket of two is decided by its one pair
     crowd = members.where("size > 2").select("bucket", "node")
@@ -196,32 +221,37 @@ def near_links(found: DataFrame, docs: DataFrame, words: int = WORDS, similarity
     wanted = stored(found.select("node", "k1", "k2").join(named, "node", "left_semi"), "near-wanted")
     sets = stored(shingle_sets(docs, wanted, words), "near-sets")
 
-    def tried(edges: DataFrame | None, pairs: DataFrame, name: str) -> DataFrame:
+    def tried(edges: DataFrame | None, pairs: DataFrame) -> DataFrame:
         links = confirmed(pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct(),
                           sets, similarity)
-        return stored(links if edges is None else edges.union(links), name)
+        return stored(links if edges is None else edges.union(links), "near-links")
 
-    edges = tried(None, stars.groupBy("node").agg(F.min_by("pivot", "odd").alias("pivot")), "near-first-links")
-    edges = tried(edges, stored(_apart(stars, components(edges)), "near-second"), "near-second-links")
+    edges = tried(None, stars.groupBy("node").agg(F.min_by("pivot", "odd").alias("pivot")))
+    edges = tried(edges, stored(_apart(stars, components(edges)), "near-apart"))
+    for turn in range(1, len(TURNS)):
+        roots = components(edges)
+        again = _starred(_mixed(crowd, roots, "bucket").select("bucket", "node"), "bucket", turn).select("node", "pivot").distinct()
+        edges = tried(edges, stored(_apart(_likely(again, found, similarity), roots), "near-apart"))
 
     # what pivots did not decide: members of crowded buckets in different components, by their rare shingles
-    open_ = _mixed(crowd, components(edges), "bucket").select("node").distinct()
+    roots = components(edges)
+    open_ = _mixed(crowd, roots, "bucket").select("node").distinct()
     tokens = stored(sets.join(stored(open_, "near-open-nodes"), "node", "left_semi").select(
         "node", F.explode("hashes").alias("token")), "near-tokens")
     spread = tokens.join(stored(tokens.groupBy("token").agg(F.count("*").alias("texts")), "near-token-counts"), "token")
     ranked = spread.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("texts", "token"))).alias("ranked"))
-    size = F.size("ranked")
-    prefix = F.slice("ranked", F.lit(1), size - F.ceil(F.lit(similarity) * size - 1e-9).cast("int") + 1)
-    rare = stored(ranked.select("node", F.explode(prefix).alias("r")).where("r.texts > 1").select(
-        F.col("r.token").alias("token"), "node"), "near-rare")
-    roots = components(edges)
-    again = _starred(_mixed(rare, roots, "token").select("token", "node"), "token").select("node", "pivot").distinct()
-    again = stored(_apart(_likely(again, found, similarity), roots), "near-third")
-    edges = tried(edges, again, "near-third-links")
-    left = _mixed(rare, components(edges), "token")
-    other = left.select("token", F.col("node").alias("pivot"), F.col("root").alias("other_root"))
-    last = left.join(other, "token").where("node > pivot and root <> other_root").select("node", "pivot").distinct()
-    return tried(edges, stored(_likely(last, found, similarity), "near-last"), "near-links")
+    n = F.size("ranked")
+    # of a pair the smaller set needs the shorter prefix: the two share at least 2 s / (1 + s) of its shingles
+    longer, shorter = (n - F.ceil(F.lit(share) * n - 1e-9).cast("int") + 1 for share in (similarity, 2 * similarity / (1 + similarity)))
+    rare = ranked.select("node", n.alias("n"), shorter.alias("shorter"), F.posexplode(F.slice("ranked", F.lit(1), longer)).alias("place", "r"))
+    rare = stored(rare.where("r.texts > 1").select(F.col("r.token").alias("token"), "node", "n", F.expr("place < shorter").alias("short")),
+                  "near-rare")
+    left = _mixed(rare.select("token", "node"), roots, "token").join(rare, ["token", "node"]).join(found.select("node", "sketch"), "node")
+    other = left.where("short").select("token", F.col("node").alias("pivot"), F.col("root").alias("other_root"), F.col("n").alias("m"),
+                                       F.col("sketch").alias("other"))
+    last = left.join(other, "token").where("root <> other_root and (n > m or n = m and node > pivot)").where(
+        (F.col("m") >= F.lit(similarity) * F.col("n") - 1e-9) & (_odd("sketch", "other") <= most_odd_bits(similarity)))
+    return tried(edges, stored(last.select("node", "pivot").distinct(), "near-last"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -231,13 +261,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: float = SIM
     reach. A text with fewer words is one shingle; null and empty texts have no shingles, are linked with nothing and are their own
     component. Rows that repeat a doc_id stay as rows; a null doc_id counts only where a component has no other. An empty table gives no rows.
     """
-    found = stored(classes(docs, words), "near-classes")
+    signed = stored(signatures(docs, words), "near-rows")
+    found = stored(classes(signed), "near-classes")
     roots = components(near_links(found, docs, words, similarity))
     rooted = stored(found.select("node", "k1", "k2", "first", "n").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")), "near-roots")
     ids = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "near-ids")
     by_key = stored(rooted.join(ids, "root").select("k1", "k2", "n", "component_id"), "near-components")
-    rows = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id").drop("text").join(by_key, ["k1", "k2"])
+    rows = signed.select("doc_id", "k1", "k2").join(by_key, ["k1", "k2"])
     return rows.select("doc_id", F.col("n").alias("n_shingles"),
                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
@@ -249,7 +280,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     then the smallest class); of rows that share this doc_id and the words one stays. Texts without a word are one class.
     Rows whose text no other row has or resembles are passed through; only the others meet the verdicts.
     """
-    found = stored(classes(docs, words), "near-classes")
+    found = stored(classes(signatures(docs, words)), "near-classes")
     roots = components(near_links(found, docs, words, similarity))
     rooted = stored(found.select("node", "k1", "k2", "first", "copies").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")), "near-roots")
@@ -258,8 +289,8 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     judged = rooted.join(stays, "node", "left").where("copies > 1 or __stays is null").select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("first").alias("__first"), F.coalesce("__stays", F.lit(False)).alias("__stays"))
     judged = bounded(stored(judged, "near-judged"))
-    spoken = normal(F.col("text"))
-    rows = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__a": F.xxhash64(spoken), "__b": F.xxhash64(F.lit(SEED), spoken)})
+    rows = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": keys(F.col("text"))}).withColumns(
+        {"__a": F.col("__key.k1"), "__b": F.col("__key.k2")}).drop("__key")
     rows = rows.join(judged, (F.col("__a") == F.col("__k1")) & (F.col("__b") == F.col("__k2")), "left").where(
         F.col("__stays").isNull() | (F.col("__stays") & F.col("__id").eqNullSafe(F.col("__first"))))
     if docs.groupBy("doc_id").count().where("count > 1").take(1):  # only then a document can stand in several rows of a class
