@@ -114,7 +114,9 @@ class Model:
         first, second = pairs // size, pairs % size
         self.size, self.pairs = size, pairs
         single = self._discounted(followers, self._by_stem(words, followers, shared))
-        single = single / single.sum(axis=0) if len(followers) and single.sum() else np.stack([shared, shared], 1)
+        # a class without learnable bigrams is as the shared model has it
+        sums = single.sum(axis=0)
+        single = np.where(sums > 0, single / np.where(sums > 0, sums, 1), shared[:, None])
         if size > 1:
             shared, single = shared * (1 - rare), single * (1 - rare)
             shared[RARE] = single[RARE] = rare
@@ -258,10 +260,10 @@ def likelihoods(docs: DataFrame, model: Broadcast) -> DataFrame:
 
 
 def curve(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and offset of the logistic curve of labels ``y`` over ``x``; only the rate counts where a class is missing."""
+    """Slope and offset of the logistic curve of labels ``y`` over ``x``; where a class is missing nothing is called toxic."""
     positive = float(y.sum())
     if not 0 < positive < len(y):
-        return 0.0, float(np.log((positive + 0.5) / (len(y) - positive + 1.0)))
+        return 0.0, -float(np.log(2 * len(y) + 2.0))
     scale = float(x.std()) or 1.0
     points = np.stack([x / scale, np.ones(len(x))], 1)
     beta = np.zeros(2)
@@ -291,7 +293,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     """(doc_id, held_out, score, predicted) of every row of ``docs`` (doc_id, text, anything else).
 
     Texts are scored by their words alone. Null and empty texts have no words and get the score of a text that is
-    as likely toxic as ordinary; without labels all scores are below 0.5. Repeated rows are scored each; a null doc_id
+    as likely toxic as ordinary; without labels of both classes all scores are below 0.5. Repeated rows are scored each; a null doc_id
     is not held out. Labels are learned only from documents of the other folds.
     """
     model, slope, offset = fitted(docs, labels, sample_rows)
