@@ -21,17 +21,20 @@ def decode(changelog: DataFrame, payload: str = "event") -> DataFrame:
         F.col("e.source.row").alias("row"), "e.ts_ms")
 
 
+def log_order() -> Column:
+    """Where a change stands in the log. Log files are numbered, and the number outgrows its leading zeros."""
+    number = F.regexp_extract("file", "([0-9]+)$", 1).try_cast("decimal(38,0)")
+    return F.struct(number.alias("number"), "file", "pos", "row")
+
+
 def latest(changes: DataFrame) -> DataFrame:
     """Current table: the last change of each key wins, deleted keys are gone.
 
     An aggregate rather than a ranking, so each task reduces its rows to one per key
     before anything is shuffled.
     """
-    # log files are numbered, and the number outgrows its leading zeros
-    number = F.regexp_extract("file", "([0-9]+)$", 1).try_cast("decimal(38,0)")
-    order = F.struct(number.alias("number"), "file", "pos", "row")
     last = changes.groupBy("id").agg(
-        F.max(F.struct(order.alias("at"), "op", F.col("after.value").alias("value"))).alias("c"))
+        F.max(F.struct(log_order().alias("at"), "op", F.col("after.value").alias("value"))).alias("c"))
     return last.where("c.op <> 'd'").select("id", F.col("c.value").alias("value"))
 
 

@@ -10,45 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import CHUNK_WIDTH, INDEX_WIDTH, Fold, keyed_scan, running_sum
-
-# How one or more updates act on a key: on a missing value, on the values listed in
-# ``cases``, and on any other value (unchanged, or replaced by ``other``).
-_EFFECT = "struct<missing:string,unchanged:boolean,other:string,cases:map<string,string>>"
-
-
-def _effect(missing: Column, unchanged: bool | Column, other: Column,
-            cases: Column | None = None) -> Column:
-    if cases is None:
-        cases = F.create_map().cast("map<string,string>")
-    flag = F.lit(unchanged) if isinstance(unchanged, bool) else unchanged
-    return F.struct(missing.alias("missing"), flag.alias("unchanged"), other.alias("other"),
-                    cases.alias("cases")).cast(_EFFECT)
-
-
-def _act(effect: Column, value: Column) -> Column:
-    return (F.when(value.isNull(), effect["missing"])
-            .when(F.map_contains_key(effect["cases"], value), F.element_at(effect["cases"], value))
-            .when(effect["unchanged"], value)
-            .otherwise(effect["other"]))
-
-
-def _row_effect(row: Column) -> Column:
-    none = F.lit(None).cast("string")
-    value, expected = row["value"], row["expected"]
-    same = _effect(none, True, none)
-    on_match = (F.when(expected.isNull(), same))  # nothing equals null
-    return (
-        F.when(row["op"] == "put", _effect(value, False, value))
-        .when(row["op"] == "putIfAbsent", _effect(value, True, none))
-        .when(row["op"].isin("remove", "clear"), _effect(none, False, none))
-        .when(row["op"] == "replace", _effect(none, False, value))
-        .when(row["op"] == "removeIf",
-              on_match.otherwise(_effect(none, True, none, F.create_map(expected, none))))
-        .when(row["op"] == "replaceIf",
-              on_match.otherwise(_effect(none, True, none, F.create_map(expected, value))))
-        .otherwise(same))
-
+from ..session import shared_dir
+from .ordered import (
+    CHUNK_WIDTH, INDEX_WIDTH, heavy_keys, highest_before, keyed_walk, marked_heavy, next_where, running_sum)
 
 def _next_value(row: Column, current: Column) -> Column:
     """Value of a key after one update."""
@@ -63,20 +27,61 @@ def _next_value(row: Column, current: Column) -> Column:
             .otherwise(current))
 
 
-def _compose(first: Column, second: Column) -> Column:
-    unchanged = first["unchanged"] & second["unchanged"]
-    other = F.when(first["unchanged"], second["other"]).otherwise(_act(second, first["other"]))
-    mapped = F.transform_values(first["cases"], lambda _, v: _act(second, v))
-    added = F.map_filter(second["cases"],
-                         lambda k, _: first["unchanged"]
-                         & ~F.map_contains_key(first["cases"], k))
-    return _effect(_act(second, first["missing"]), unchanged, other, F.map_concat(mapped, added))
+def _none() -> Column:
+    return F.lit(None).cast("string")
+
 
+def _walked(updates: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """``updates`` (``keys``, rev, op, value, expected, …) with ``before`` and ``after``, the key's value around each.
 
-def _fold() -> Fold:
-    none = F.lit(None).cast("string")
-    return Fold(initial=lambda: none, identity=lambda: _effect(none, True, none),
-                effect=_row_effect, compose=_compose, apply=_act, advance=_next_value)
+    Keys of up to ``width`` updates are walked as one array each; the rows of the others go through
+    `_linked`. Keys are counted first; only the heavy ones are kept, in the shared folder.
+    """
+    shared_dir(updates.sparkSession)
+    heavy = heavy_keys(updates, keys, width).checkpoint()
+    if heavy.isEmpty():
+        return keyed_walk(updates, keys, "rev", _none, _next_value)
+    marked = marked_heavy(updates, keys, heavy, ["rev"]).drop("__part")
+    light = marked.where("__heavy is null").drop("__heavy")
+    return keyed_walk(light, keys, "rev", _none, _next_value).unionByName(
+        _linked(marked.where("__heavy").drop("__heavy"), keys))
+
+
+def _linked(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """The same for keys with long histories, without a key's history in one place.
+
+    An update that takes effect leaves a known value, so the next update that takes effect after it is known too: the
+    next one that acts on any value, or the next that expects just this value, whichever comes first. These links
+    need no history, only the next flagged row per key, or per key and value. Following the links from a key's first update finds
+    all that took effect, by doubling: in each round the rows reached so far reach as many again, and links
+    become twice as long. Rounds grow with the logarithm of the longest chain, and a round costs at most a join of the updates.
+    """
+    op = F.col("op")
+    result = F.when(op.isin("put", "putIfAbsent", "replace", "replaceIf"), F.col("value"))
+    rows = updates.select(*keys, "rev", "op", "expected", result.alias("__result")).checkpoint()
+    # rows stand at odd places, and what they expect just before at even ones
+    own = rows.select(*keys, (F.col("rev") * 2 + 1).alias("__at"), F.col("__result").alias("__token"),
+                      F.lit(False).alias("__asks")).where("__token is not null")
+    asked = rows.where(op.isin("removeIf", "replaceIf") & F.col("expected").isNotNull()).select(
+        *keys, (F.col("rev") * 2).alias("__at"), F.col("expected").alias("__token"), F.lit(True).alias("__asks"))
+    same = next_where(own.unionByName(asked), F.col("__asks"), "__at", "__same", partition_by=[*keys, "__token"])
+    same = same.where("not __asks").select(*keys, F.expr("(__at - 1) div 2").alias("rev"), F.expr("__same div 2").alias("__same"))
+    ahead = next_where(rows, op.isin("put", "remove", "replace"), "rev", "__any", partition_by=keys)
+    ahead = next_where(ahead, op.isin("put", "putIfAbsent"), "rev", "__absent", partition_by=keys)
+    follows = F.when(F.col("__result").isNull(), F.col("__absent")).otherwise(F.least("__any", "__same"))
+    links = ahead.join(same, [*keys, "rev"], "left").select(*keys, "rev", follows.alias("to")).where(
+        "to is not null").checkpoint()
+    reached = rows.where(op.isin("put", "putIfAbsent")).groupBy(*keys).agg(F.min("rev").alias("rev"))
+    while not links.isEmpty():
+        more = reached.join(links, [*keys, "rev"]).select(*keys, F.col("to").alias("rev"))
+        reached = reached.unionByName(more).repartition(*keys, "rev").checkpoint()
+        further = links.select(*keys, F.col("rev").alias("to"), F.col("to").alias("__to"))
+        links = links.join(further, [*keys, "to"]).select(*keys, "rev", F.col("__to").alias("to")).checkpoint()
+    took = updates.join(reached.withColumn("__took", F.lit(True)), [*keys, "rev"], "left").withColumn(
+        "__left", F.when(F.col("__took"), F.struct("rev", result.alias("value"))))
+    seen = highest_before(took, "__left", "rev", "__last", partition_by=keys)
+    return seen.select(*updates.columns, F.col("__last.value").alias("before"),
+                       F.when(F.col("__took"), result).otherwise(F.col("__last.value")).alias("after"))
 
 
 def put_all(updates: DataFrame, entries: str = "entries") -> DataFrame:
@@ -111,7 +116,7 @@ def conditional_replay(updates: DataFrame, *, width: int = CHUNK_WIDTH,
     """
     epochs = running_sum(updates, (F.col("op") == "clear").cast("int"), "rev", "epoch",
                          width=index_width).where("op <> 'clear'")
-    walked = keyed_scan(epochs, ["epoch", "key"], "rev", _fold(), width=width)
+    walked = _walked(epochs, ["epoch", "key"], width)
     before, op = F.col("before"), F.col("op")
     applied = (F.when(op == "put", True)
                .when(op == "putIfAbsent", before.isNull())
@@ -136,7 +141,7 @@ def final_map(updates: DataFrame, *, width: int = CHUNK_WIDTH) -> DataFrame:
     """
     cleared = updates.agg(F.max(F.when(F.col("op") == "clear", F.col("rev")))).scalar()
     live = updates.where((F.col("op") != "clear") & (F.col("rev") > F.coalesce(cleared, F.lit(-1))))
-    walked = keyed_scan(live, ["key"], "rev", _fold(), width=width)
+    walked = _walked(live, ["key"], width)
     last = walked.groupBy("key").agg(F.max(F.struct("rev", "after")).alias("u"))
     return last.where("u.after is not null").select("key", F.col("u.after").alias("value"))
 

@@ -84,10 +84,24 @@ def _narrow(rows: DataFrame, cell: str, *bounds: Column) -> DataFrame:
     return _holding(counts, ["g"], cell).drop("g", "n")
 
 
-def latency_report(df: DataFrame, value: str) -> DataFrame:
-    """Count, average and maximum of a reading."""
-    return df.agg(F.count(value).alias("records"), F.avg(value).alias("avg_value"),
-                  F.max(value).alias("max_value"))
+MEGABYTE = 1024.0 * 1024.0      # fixed unit of the report
+
+
+def _rates(time: str, size: str) -> list[Column]:
+    """First and last time of a group's records, and records and megabytes a second between them (null for no time)."""
+    first, last = F.min(time), F.max(time)
+    micros = F.nullif(F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp")), F.lit(0))
+    return [first.alias("first_time"), last.alias("last_time"),
+            (F.count(F.lit(1)) * 1e6 / micros).alias("rec_per_s"),
+            (F.sum(size) * 1e6 / micros / MEGABYTE).alias("mb_per_s")]
+
+
+def latency_report(df: DataFrame, value: str, time: str | None = None, size: Column | None = None) -> DataFrame:
+    """Count, average and maximum of a reading; with ``time`` and ``size`` also rates over the whole time."""
+    rates = [] if time is None or size is None else _rates(time, "__size")
+    rows = df if size is None else df.withColumn("__size", size)
+    return rows.agg(F.count(value).alias("records"), F.avg(value).alias("avg_value"),
+                    F.max(value).alias("max_value"), *rates)
 
 
 def systematic_sample(df: DataFrame, position: str, most: int = SAMPLE_ROWS, *,
@@ -99,13 +113,18 @@ def systematic_sample(df: DataFrame, position: str, most: int = SAMPLE_ROWS, *,
 
 
 def count_windows(df: DataFrame, position: str, value: str, size: Column, rows: int = 200, *,
-                  width: int = INDEX_WIDTH) -> DataFrame:
-    """Statistics per ``rows`` records; an incomplete last window is not reported."""
-    indexed = dense_index(df.select(position, value, size.alias("bytes")), position, "i",
+                  time: str | None = None, width: int = INDEX_WIDTH) -> DataFrame:
+    """Statistics per ``rows`` records; an incomplete last window is not reported.
+
+    With ``time`` a window also has the first and last time of its records and their rates in between.
+    """
+    times = [] if time is None else [time]
+    indexed = dense_index(df.select(position, value, size.alias("bytes"), *times), position, "i",
                           width=width)
     return (indexed.groupBy(F.expr(f"i div {rows}").alias("window_no"))
             .agg(F.count(F.lit(1)).alias("records"), F.sum("bytes").alias("bytes"),
-                 F.avg(value).alias("avg_value"), F.max(value).alias("max_value"))
+                 F.avg(value).alias("avg_value"), F.max(value).alias("max_value"),
+                 *(_rates(time, "bytes") if time is not None else []))
             .where(F.col("records") == rows))
 
 

@@ -152,6 +152,27 @@ def _replayed(arrays: DataFrame, start: Column, fold: Fold, keys: Sequence[str],
         .select(*columns, "before", "after"))
 
 
+def _histories(keyed: DataFrame, schema_json: str) -> Column:
+    """Rows of a group as one array in order of ``__pos``."""
+    items = F.collect_list(F.struct("__pos", "row"))
+    if '"map"' in schema_json or '"variant"' in schema_json:      # such rows have no order of their own
+        return _sorted_by(items, "__pos").alias("rows")
+    return F.sort_array(items).alias("rows")
+
+
+def keyed_walk(df: DataFrame, keys: Sequence[str], position: str, initial: Callable[[], Column],
+               advance: Callable[[Column, Column], Column]) -> DataFrame:
+    """`keyed_scan` for keys that are known to be short, by ``advance`` alone: one array per key."""
+    payload = F.struct(*[c for c in df.columns if c not in keys])
+    keyed = df.select(F.struct(*keys).alias("__key"), F.col(position).alias("__pos"),
+                      payload.alias("row"))
+    fold = Fold(initial=initial, identity=initial, effect=lambda row: row,
+                compose=lambda first, second: second, apply=lambda fn, state: state,
+                advance=advance)
+    return _replayed(keyed.groupBy("__key").agg(_histories(keyed, df.schema.json())), initial(),
+                     fold, list(keys), df.columns)
+
+
 def keyed_scan(df: DataFrame, keys: Sequence[str], position: str, fold: Fold, *,
                width: int = CHUNK_WIDTH, fan: int = CHUNK_FAN) -> DataFrame:
     """Replay every key in ``position`` order.
@@ -169,12 +190,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], position: str, fold: Fold, *,
     payload = F.struct(*[c for c in df.columns if c not in keys])
     keyed = df.select(F.struct(*keys).alias("__key"), F.col(position).alias("__pos"),
                       payload.alias("row"))
-    items = F.collect_list(F.struct("__pos", "row"))
-    text = df.schema.json()
-    if '"map"' in text or '"variant"' in text:      # such rows have no order of their own
-        items = _sorted_by(items, "__pos").alias("rows")
-    else:
-        items = F.sort_array(items).alias("rows")
+    items = _histories(keyed, df.schema.json())
     heavy = heavy_keys(keyed, ["__key"], width).checkpoint()
     if heavy.isEmpty():
         return _replayed(keyed.groupBy("__key").agg(items), fold.initial(), fold, keys, df.columns)
@@ -259,12 +275,12 @@ def running_sum(df: DataFrame, weight: Column | str, position: str, name: str, *
 
 
 def highest_before(df: DataFrame, value: str, position: str, name: str, *,
-                   width: int = INDEX_WIDTH) -> DataFrame:
+                   partition_by: Sequence[str] = (), width: int = INDEX_WIDTH) -> DataFrame:
     """Highest ``value`` of all rows at lower positions (null for the first)."""
     nothing = F.lit(None).cast(df.schema[value].dataType)
     top = Fold(initial=lambda: nothing, identity=lambda: nothing, effect=lambda row: row[value],
                compose=F.greatest, apply=F.greatest)
-    placed = df.select("*", F.struct(F.lit(0)).alias("__key"),
+    placed = df.select("*", F.struct(*(partition_by or [F.lit(0)])).alias("__key"),
                        block_of(position, width).alias("chunk"))
     tops = placed.groupBy("__key", "chunk").agg(F.max(value).alias("fn"))
     inside = Window.partitionBy("__key", "chunk").orderBy(position).rowsBetween(
@@ -274,6 +290,24 @@ def highest_before(df: DataFrame, value: str, position: str, name: str, *,
             .select(*df.columns, name))
 
 
+def next_where(df: DataFrame, flag: Column, position: str, name: str, *,
+               partition_by: Sequence[str] = (), width: int = INDEX_WIDTH) -> DataFrame:
+    """Position of the next row, after each row, for which ``flag`` holds (null if none)."""
+    nothing = F.lit(None).cast("long")
+    first = Fold(initial=lambda: nothing, identity=lambda: nothing, effect=lambda row: nothing,
+                 compose=F.least, apply=F.least)
+    at = F.when(flag, F.col(position).cast("long"))
+    # blocks are numbered backwards, so that what comes after has been met
+    placed = df.select("*", F.struct(*(partition_by or [F.lit(0)])).alias("__key"),
+                       (-block_of(position, width)).alias("chunk"), at.alias("__flagged"))
+    firsts = placed.groupBy("__key", "chunk").agg(F.min("__flagged").alias("fn"))
+    inside = Window.partitionBy("__key", "chunk").orderBy(position).rowsBetween(
+        1, Window.unboundedFollowing)
+    return (placed.join(chunk_starts(firsts, first), ["__key", "chunk"], "left")
+            .withColumn(name, F.coalesce(F.min("__flagged").over(inside), "start"))
+            .select(*df.columns, name))
+
+
 def dense_index(df: DataFrame, position: str, name: str, *, first: int = 0,
                 partition_by: Sequence[str] = (), width: int = INDEX_WIDTH) -> DataFrame:
     """Number the rows ``first, first+1, …`` in ``position`` order."""

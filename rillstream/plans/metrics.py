@@ -20,12 +20,23 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.exact_percentiles(inputs.table(spark, sf_dir, "events"), "value")
 
 
-@query("""SELECT count(value) AS records,
+_RATES = """min(ts) AS first_time, max(ts) AS last_time,
+  round(count(*) * 1e6::DOUBLE / nullif(epoch_us(max(ts)) - epoch_us(min(ts)), 0), 6) AS rec_per_s,
+  round(sum(strlen(props))::BIGINT * 1e6::DOUBLE / nullif(epoch_us(max(ts)) - epoch_us(min(ts)), 0)
+    / (1024 * 1024)::DOUBLE, 9) AS mb_per_s"""
+
+
+def _rounded(report: DataFrame) -> DataFrame:
+    return report.withColumns({"avg_value": F.round("avg_value", 6), "rec_per_s": F.round("rec_per_s", 6),
+                               "mb_per_s": F.round("mb_per_s", 9)})
+
+
+@query(f"""SELECT count(value) AS records,
   round(avg(value), 6) AS avg_value,
-  max(value) AS max_value FROM events""")
+  max(value) AS max_value, {_RATES} FROM events""")
 def latency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.latency_report(inputs.table(spark, sf_dir, "events"), "value").withColumn(
-        "avg_value", F.round("avg_value", 6))
+    return _rounded(metrics.latency_report(inputs.table(spark, sf_dir, "events"), "value", "ts",
+                                           F.octet_length("props").cast("long")))
 
 
 # Rows the sample aims at; the usual 500,000 is more than the test tables hold.
@@ -40,16 +51,15 @@ def latency_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.systematic_sample(readings, "event_id", SAMPLE)
 
 
-@query("""SELECT CAST(i // 200 AS BIGINT) AS window_no, count(*) AS records,
+@query(f"""SELECT CAST(i // 200 AS BIGINT) AS window_no, count(*) AS records,
   sum(strlen(props))::BIGINT AS bytes,
   round(avg(value), 6) AS avg_value,
-  max(value) AS max_value
+  max(value) AS max_value, {_RATES}
   FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events)
   GROUP BY 1 HAVING count(*) = 200""")
 def count_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.count_windows(inputs.table(spark, sf_dir, "events"), "event_id", "value",
-                                 F.octet_length("props").cast("long")).withColumn(
-        "avg_value", F.round("avg_value", 6))
+    return _rounded(metrics.count_windows(inputs.table(spark, sf_dir, "events"), "event_id", "value",
+                                          F.octet_length("props").cast("long"), time="ts"))
 
 
 @query("""SELECT window_start, events, bytes,

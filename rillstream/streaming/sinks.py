@@ -92,9 +92,8 @@ def keep_latest(stream: DataFrame, path: str, checkpoint: str, *, once: bool = F
 
 
 def _last_changes(batch: DataFrame) -> DataFrame:
-    order = F.struct("file", "pos", "row")
     rest = [c for c in batch.columns if c != "id"]
-    return (batch.groupBy("id").agg(F.max(F.struct(order.alias("at"), *rest)).alias("c"))
+    return (batch.groupBy("id").agg(F.max(F.struct(changes.log_order().alias("at"), *rest)).alias("c"))
             .select("id", *[F.col(f"c.{name}").alias(name) for name in rest]))
 
 

@@ -257,3 +257,13 @@ def test_first_arrival_wins(spark):
                                "ride_id long, arrival long, note string")
     got = duplicates.distinct_by_identity(df, "ride_id", "arrival").collect()
     assert {(r["ride_id"], r["note"]) for r in got} == {(1, "early"), (2, "only")}
+
+
+def test_rates_of_count_windows(spark):
+    df = spark.range(400).selectExpr("id AS at", "id * 1.0 AS v", "timestamp_seconds(id div 200 * 100 + id % 200 * 0.5) AS t")
+    size = F.lit(1 << 20).cast("long")
+    first = metrics.count_windows(df, "at", "v", size, 200, time="t").orderBy("window_no").first()
+    assert first["rec_per_s"] == pytest.approx(200 / 99.5) and first["mb_per_s"] == pytest.approx(200 / 99.5)
+    whole = metrics.latency_report(df, "v", "t", size).first()
+    assert whole["rec_per_s"] == pytest.approx(400 / 199.5) and whole["records"] == 400
+    assert metrics.latency_report(df.limit(1), "v", "t", size).first()["rec_per_s"] is None

@@ -154,6 +154,45 @@ def test_conditional_map(spark, width, fan, clears):
     assert final == table
 
 
+def test_long_chain_of_conditional_updates(spark):
+    """Each update expects what the one before left; every 1,000th expects something else."""
+    length = 100_000
+    df = spark.range(length).selectExpr(
+        "id AS rev", "CASE WHEN id = 0 THEN 'put' ELSE 'replaceIf' END AS op", "'hot' AS key",
+        "CASE WHEN id % 1000 = 999 THEN 'lost' ELSE string(id) END AS value",
+        "CASE WHEN id % 1000 = 999 THEN 'nobody' WHEN id % 1000 = 0 THEN string(id - 2) ELSE string(id - 1) END AS expected")
+    got = keyed_maps.conditional_replay(df, width=1000).toPandas().sort_values("rev")
+    assert len(got) == length
+    applied = got["rev"] % 1000 != 999
+    assert (got["applied"] == applied).all()
+    assert (got["current"] == (got["rev"] - ~applied).astype(str)).all()
+    assert (got["previous"][1:] == got["current"].shift()[1:]).all()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_linked_updates_on_few_values(spark, seed):
+    """Heavy and light keys, values that come back, expectations of the update's own value, null values."""
+    rng = random.Random(seed)
+    ops = ["put", "remove", "removeIf", "replaceIf", "replaceIf", "replaceIf", "putIfAbsent", "replace"]
+    data = [(rev * 3, rng.choices(ops, [1, 1, 4, 9, 9, 9, 4, 1])[0], "h" if rng.random() < .8 else rng.choice("ab"),
+             rng.choice(["p", "q", "r", "s", None]), rng.choice(["p", "q", "r", "s", None])) for rev in range(500)]
+    df = spark.createDataFrame(data, "rev long, op string, key string, value string, expected string")
+    _, outcomes = replay_by_hand(data)
+    got = keyed_maps.conditional_replay(df, width=150, index_width=64).collect()
+    assert {r["rev"]: (r["epoch"], r["previous"], r["applied"], r["current"]) for r in got} == outcomes
+
+
+@pytest.mark.parametrize("width", [4, 1 << 18])
+def test_next_where(spark, width):
+    rng = random.Random(3)
+    data = [(at, rng.choice("ab"), rng.random() < 0.1) for at in range(0, 300, 2)]
+    df = spark.createDataFrame(data, "at long, k string, f boolean")
+    for by in ([], ["k"]):
+        got = ordered.next_where(df, F.col("f"), "at", "nxt", partition_by=by, width=width).collect()
+        assert {r["at"]: r["nxt"] for r in got} == {
+            at: next((b for b, o, f in data if b > at and f and (not by or o == k)), None) for at, k, _ in data}
+
+
 def test_snapshot_equals_final_map(spark):
     rng = random.Random(9)
     data = [(rev, rng.choice(["put", "remove", "putIfAbsent"] + ["clear"] * (rev % 17 == 0)),

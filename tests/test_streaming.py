@@ -191,3 +191,14 @@ def test_console_and_discard(spark, source, tmp_path):
     out = str(tmp_path / "plain")
     sinks.at_least_once(stream, out, str(tmp_path / "c3"), once=True).awaitTermination()
     assert spark.read.parquet(out).count() == 300
+
+
+def test_live_table_takes_the_later_log_file(spark, tmp_path):
+    """File numbers that outgrow their leading zeros, within a batch and between batches."""
+    schema = "id string, op string, after struct<value:double>, file string, pos long, row int"
+    rows = [("x", "u", (1.0,), "binlog.999999", 9, 0), ("x", "u", (2.0,), "binlog.1000000", 1, 0)]
+    for i, part in enumerate((rows, [("y", *rows[1][1:])], [("y", *rows[0][1:])])):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    sinks.keep_latest(stream, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
+    assert {tuple(r) for r in sinks.current_table(spark, str(tmp_path / "out")).collect()} == {("x", 2.0), ("y", 2.0)}
