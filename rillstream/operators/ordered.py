@@ -292,7 +292,14 @@ def highest_before(df: DataFrame, value: str, position: str, name: str, *,
 
 def next_where(df: DataFrame, flag: Column, position: str, name: str, *,
                partition_by: Sequence[str] = (), width: int = INDEX_WIDTH) -> DataFrame:
-    """Position of the next row, after each row, for which ``flag`` holds (null if none)."""
+    """Position of the next row, after each row, for which ``flag`` holds (null if none).
+
+    Where no partition has more than ``width`` rows (counted first) one window over each is enough.
+    """
+    following = (1, Window.unboundedFollowing)
+    if partition_by and heavy_keys(df, partition_by, width).isEmpty():
+        whole = Window.partitionBy(*partition_by).orderBy(position).rowsBetween(*following)
+        return df.withColumn(name, F.min(F.when(flag, F.col(position).cast("long"))).over(whole))
     nothing = F.lit(None).cast("long")
     first = Fold(initial=lambda: nothing, identity=lambda: nothing, effect=lambda row: nothing,
                  compose=F.least, apply=F.least)
@@ -301,8 +308,7 @@ def next_where(df: DataFrame, flag: Column, position: str, name: str, *,
     placed = df.select("*", F.struct(*(partition_by or [F.lit(0)])).alias("__key"),
                        (-block_of(position, width)).alias("chunk"), at.alias("__flagged"))
     firsts = placed.groupBy("__key", "chunk").agg(F.min("__flagged").alias("fn"))
-    inside = Window.partitionBy("__key", "chunk").orderBy(position).rowsBetween(
-        1, Window.unboundedFollowing)
+    inside = Window.partitionBy("__key", "chunk").orderBy(position).rowsBetween(*following)
     return (placed.join(chunk_starts(firsts, first), ["__key", "chunk"], "left")
             .withColumn(name, F.coalesce(F.min("__flagged").over(inside), "start"))
             .select(*df.columns, name))

@@ -156,7 +156,7 @@ def test_conditional_map(spark, width, fan, clears):
 
 def test_long_chain_of_conditional_updates(spark):
     """Each update expects what the one before left; every 1,000th expects something else."""
-    length = 100_000
+    length = 5_000
     df = spark.range(length).selectExpr(
         "id AS rev", "CASE WHEN id = 0 THEN 'put' ELSE 'replaceIf' END AS op", "'hot' AS key",
         "CASE WHEN id % 1000 = 999 THEN 'lost' ELSE string(id) END AS value",
