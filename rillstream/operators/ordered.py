@@ -274,6 +274,18 @@ def running_sum(df: DataFrame, weight: Column | str, position: str, name: str, *
                         fan=fan)
 
 
+def block_starts(totals: DataFrame, keys: Sequence[str], block: str, rows: str) -> DataFrame:
+    """Rows of each key in front of each of its blocks: ``keys``, ``block``, ``start``, ``rows``.
+
+    ``totals``: parts of blocks with their number of ``rows``; several parts of a block are added up.
+    """
+    whole = totals.groupBy(F.struct(*keys).alias("__key"), F.col(block).cast("long").alias("chunk")).agg(
+        F.sum(rows).alias("n"))
+    starts = chunk_starts(whole.select("__key", "chunk", F.struct("n").alias("fn")), _sums(["n"]))
+    return whole.join(starts, ["__key", "chunk"]).select(
+        "__key.*", F.col("chunk").alias(block), F.col("start.n").alias("start"), F.col("n").alias(rows))
+
+
 def highest_before(df: DataFrame, value: str, position: str, name: str, *,
                    partition_by: Sequence[str] = (), width: int = INDEX_WIDTH) -> DataFrame:
     """Highest ``value`` of all rows at lower positions (null for the first)."""

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
 from .joins import events_in_slices
-from .ordered import CHUNK_WIDTH, INDEX_WIDTH, Fold, dense_index, keyed_scan
+from .ordered import CHUNK_WIDTH, INDEX_WIDTH, Fold, block_of, block_starts, keyed_scan
 
 Cut = Mapping[int, int]
 
@@ -72,29 +72,62 @@ def cuts_by_index(log: DataFrame, first: int, last: int, *, order: str = "offset
     """Cut pair of every stream that encloses its events number ``first`` to ``last - 1``.
 
     The number counts the events of the stream in ``order``. If ``last`` lies past the end,
-    the end is unbounded (null).
+    the end is unbounded (null). The log is counted per block of ``width`` positions; only the blocks in which the two
+    events lie, two per stream at most, are numbered row by row.
     """
-    indexed = dense_index(log.select("stream", "segment_id", "offset", order)
-                          if order != "offset" else log.select("stream", "segment_id", "offset"),
-                          order, "i", partition_by=["stream"], width=width)
-    sizes = log.groupBy("stream").agg(F.count(F.lit(1)).alias("events"))
-
-    def position(bound: int) -> Column:
-        return F.coalesce(F.min(F.when(F.col("i") >= bound, F.col("offset"))),
-                          F.max("offset") + 1)
-
-    per_segment = indexed.groupBy("stream", "segment_id").agg(
-        position(first).alias("start_offset"), position(last).alias("e"))
+    per = _stored(log.groupBy("stream", "segment_id", block_of(order, width).alias("block")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi")), "blocks")
+    starts = _stored(block_starts(per, ["stream"], "block", "n"), "block-starts")
+
+    def reached(place: str, offset: str) -> list[Column]:
+        return [F.when(F.col(place) >= bound, F.col(offset)).alias(name)
+                for name, bound in (("from", first), ("to", last))]
+
+    def split(bound: int) -> Column:
+        return (F.col("start") < bound) & (F.col("start") + F.col("n") > bound)
+
+    rows = _numbered(log.select("stream", "segment_id", "offset", *([order] if order != "offset" else [])),
+                     starts.where(split(first) | split(last)), order, width)
+    whole = per.join(starts.drop("n"), ["stream", "block"]).select(
+        "stream", "segment_id", *reached("start", "lo"), "hi")
+    inner = rows.select("stream", "segment_id", *reached("i", "offset"), F.lit(None).cast("bigint").alias("hi"))
+    per_segment = whole.unionByName(inner).groupBy("stream", "segment_id").agg(
+        F.coalesce(F.min("from"), F.max("hi") + 1).alias("start_offset"),
+        F.coalesce(F.min("to"), F.max("hi") + 1).alias("e"))
+    sizes = starts.groupBy("stream").agg(F.sum("n").alias("events"))
     return per_segment.join(sizes, "stream").select(
         "stream", "segment_id", "start_offset",
         F.when(F.col("events") >= last, F.col("e")).alias("end_offset"))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A small table, written once; the planner then knows its size."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _numbered(log: DataFrame, starts: DataFrame, order: str, width: int) -> DataFrame:
+    """The rows of the blocks in ``starts`` (stream, block, start) with their number ``i`` in the stream."""
+    wanted = _stored(starts.select("stream", "block", "start").distinct(), "open-blocks")
+    inside = Window.partitionBy("stream", "block").orderBy(order)
+    return log.withColumn("block", block_of(order, width)).join(wanted, ["stream", "block"]).withColumn(
+        "i", F.col("start") + F.row_number().over(inside) - 1)
+
+
 def index_ranges(log: DataFrame, group: Column, *, width: int = INDEX_WIDTH) -> DataFrame:
-    """First and one-past-last event number of each group (e.g. day) of a stream."""
-    indexed = dense_index(log.select("stream", "offset", group.alias("grp")), "offset", "i",
-                          partition_by=["stream"], width=width)
-    return indexed.groupBy("stream", "grp").agg(
+    """First and one-past-last event number of each group (e.g. day) of a stream.
+
+    Only the blocks of ``width`` positions that hold the first or the last event of a group are numbered row by row.
+    """
+    per = _stored(log.groupBy("stream", group.alias("grp"), block_of("offset", width).alias("block")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi")), "blocks")
+    starts = block_starts(per, ["stream"], "block", "n")
+    ends = _stored(per.groupBy("stream", "grp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "group-ends")
+    at = ends.select("stream", "grp", F.explode(F.array("lo", "hi")).alias("offset")).withColumn(
+        "block", block_of("offset", width))
+    rows = _numbered(log.select("stream", "offset"), starts.join(at, ["stream", "block"], "left_semi"), "offset", width)
+    return rows.join(at.select("stream", "grp", "offset").distinct(), ["stream", "offset"]).groupBy("stream", "grp").agg(
         F.min("i").alias("first_index"), (F.max("i") + 1).alias("end_index"))
 
 
@@ -143,9 +176,62 @@ def bookmark_slices(events: DataFrame, key: str, position: str, of_interest: Col
         key, F.col("before").alias("start_offset"), F.col(position).alias("end_offset"))
 
 
+def _counting_fold(flag: str, counted: str, position: str) -> Fold:
+    """State: position of the pending bookmark, rows counted in front of it, and rows counted so far."""
+    state = "struct<pending:bigint,before:bigint,hits:bigint>"
+    shape = "struct<closes:boolean,pending:bigint,before:bigint,hits:bigint>"
+
+    def make(*fields: Column, kind: str = shape) -> Column:
+        names = [f.split(":")[0] for f in kind[7:-1].split(",")]
+        return F.struct(*[f.alias(n) for f, n in zip(fields, names)]).cast(kind)
+
+    nothing, zero = F.lit(None), F.lit(0)
+
+    def later(known: Column, first: Column, second: Column) -> Column:
+        """Rows counted before the bookmark, which is ``first``'s if ``known``."""
+        return F.when(known, first["before"]).otherwise(first["hits"] + second["before"])
+
+    def compose(f: Column, g: Column) -> Column:
+        keeps = ~g["closes"] & f["pending"].isNotNull()
+        return make(f["closes"] | g["closes"], F.when(keeps, f["pending"]).otherwise(g["pending"]),
+                    later(keeps, f, g), f["hits"] + g["hits"])
+
+    def apply(f: Column, s: Column) -> Column:
+        keeps = ~f["closes"] & s["pending"].isNotNull()
+        return make(F.when(keeps, s["pending"]).otherwise(f["pending"]), later(keeps, s, f),
+                    s["hits"] + f["hits"], kind=state)
+
+    return Fold(
+        initial=lambda: make(nothing, zero, zero, kind=state),
+        identity=lambda: make(F.lit(False), nothing, zero, zero),
+        effect=lambda row: make(~row[flag], F.when(row[flag], row[position]), zero, row[counted].cast("bigint")),
+        compose=compose, apply=apply,
+        advance=lambda row, s: make(
+            F.when(row[flag], F.coalesce(s["pending"], row[position].cast("bigint"))),
+            F.when(s["pending"].isNotNull(), s["before"]).otherwise(s["hits"]),
+            s["hits"] + row[counted].cast("bigint"), kind=state))
+
+
+def bookmark_counts(events: DataFrame, key: str, position: str, of_interest: Column, counted: Column, *,
+                    width: int = CHUNK_WIDTH) -> DataFrame:
+    """`bookmark_slices` with ``n``, the rows of each slice that satisfy ``counted``, in one walk.
+
+    The walk carries the rows counted so far, so a slice's count is the difference of two of its values.
+    """
+    flags = events.select(key, position, F.coalesce(of_interest, F.lit(False)).alias("hit"),
+                          F.coalesce(counted, F.lit(False)).alias("counted"))
+    walked = keyed_scan(flags, [key], position, _counting_fold("hit", "counted", position), width=width)
+    return walked.where(~F.col("hit") & F.col("before.pending").isNotNull()).select(
+        key, F.col("before.pending").alias("start_offset"), F.col(position).alias("end_offset"),
+        (F.col("before.hits") - F.col("before.before")).alias("n"))
+
+
 def slice_counts(events: DataFrame, slices: DataFrame, key: str, position: str,
                  counted: Column, *, block: int = 1 << 16) -> DataFrame:
-    """Rows of each slice that satisfy ``counted``; slices without any show 0."""
+    """Rows of each slice that satisfy ``counted``; slices without any show 0.
+
+    For slices that come as data; those of bookmarks are counted by `bookmark_counts` without a join.
+    """
     hits = (events_in_slices(events.where(counted).select(key, position), slices, key, position,
                              block=block)
             .groupBy(key, "start_offset").agg(F.count(F.lit(1)).alias("n")))

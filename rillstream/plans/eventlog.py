@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,3 +190,20 @@ def log_append_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event").cast("long").alias("event_id"), "routing_key", "offset")
     return ordered.dense_index(stored, "offset", "seq", first=1,
                                partition_by=["routing_key"]).drop("offset")
+
+
+@query(f"""SELECT stream, segment_id, "offset", event FROM {LOG}
+  UNION ALL SELECT stream, segment_id, "offset", event FROM {LOG} WHERE segment_id = 3""")
+def catalog_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends into a partitioned table, and from it into one made like it, columns met by name."""
+    log = inputs.log(spark, sf_dir).select("event", "segment_id", "offset", "stream")
+    scope = f"rill_{uuid.uuid4().hex}"
+    eventlog.create_stream_table(spark, scope, "events", "stream string, segment_id int, event string, offset bigint",
+                                 ["segment_id"])
+    eventlog.create_like(spark, f"{scope}.copies", f"{scope}.events")
+    for part in (log.where("segment_id < 2"), log.where("segment_id >= 2")):
+        tables.insert_select(part, f"{scope}.events")
+    events = spark.table(f"{scope}.events")
+    tables.insert_select(events, f"{scope}.copies")
+    tables.insert_select(events.where("segment_id = 3"), f"{scope}.copies")
+    return spark.table(f"{scope}.copies").select("stream", "segment_id", "offset", "event")

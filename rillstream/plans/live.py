@@ -111,7 +111,7 @@ def stream_alert_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.max("event_time").alias("max_time")])
     sinks.upsert_documents(summary, f"{path}/documents", f"{path}/c2", "network_id", "window_end",
                            once=True).awaitTermination()
-    out = latest_documents(sinks.read_batches(spark, f"{path}/documents"))
+    out = latest_documents(sinks.read_levels(spark, f"{path}/documents"))
     return out.select(*[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n)
                         for n, t in out.dtypes])
 
@@ -153,16 +153,16 @@ def stream_chained_average(spark: SparkSession, sf_dir: str) -> DataFrame:
   JOIN events e ON e.ts >= d.day AND e.ts < d.day + to_minutes(CAST(10 * (s.i + 1) AS BIGINT))
   GROUP BY ALL""")
 def stream_cumulate_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each batch stores its first visits per user and day; the curve is read off those."""
+    """First visits per user and day are kept in levels of stored batches; the curve is read off those."""
     path = fresh_path(spark, "visits")
 
     def first_visits(batch: DataFrame) -> DataFrame:
         day = F.date_trunc("day", "ts").cast("timestamp_ntz")
         return batch.groupBy(day.alias("day"), "user_id").agg(F.min("ts").alias("ts")).drop("day")
 
-    sinks.exactly_once(event_stream(spark, sf_dir).select("user_id", "ts"), f"{path}/first",
-                       f"{path}/checkpoint", once=True, reduce=first_visits).awaitTermination()
-    return windows.cumulative_distinct(sinks.read_batches(spark, f"{path}/first"), "ts", "user_id")
+    sinks.reduced_levels(event_stream(spark, sf_dir).select("user_id", "ts"), f"{path}/first",
+                         f"{path}/checkpoint", first_visits, once=True).awaitTermination()
+    return windows.cumulative_distinct(sinks.read_levels(spark, f"{path}/first"), "ts", "user_id")
 
 
 @query(f"""SELECT sector, round(avg(value), 6) AS "index"

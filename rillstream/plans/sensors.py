@@ -115,8 +115,21 @@ def bookmark_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
   GROUP BY ALL""")
 def slice_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _sensor_events(spark, sf_dir)
-    return slices.slice_counts(events, _bookmarks(events), "sensor_id", "event_id",
-                               F.col("value") < THRESHOLD)
+    low = F.col("value") < THRESHOLD
+    return slices.bookmark_counts(events, "sensor_id", "event_id", low, low)
+
+
+@query(f"""SELECT s.sensor_id, s.start_offset, s.end_offset, count(e.event_id) AS n
+  FROM ({_SLICES}) s LEFT JOIN events e ON e.user_id = s.sensor_id
+    AND e.event_id >= s.start_offset AND e.event_id < s.end_offset AND e.event_type = 'click'
+  GROUP BY ALL""")
+def slice_counts_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices that are kept as a table, counted later over the log."""
+    found = fresh_path(spark, "slices")
+    _bookmarks(_sensor_events(spark, sf_dir)).write.parquet(found)
+    events = inputs.table(spark, sf_dir, "events").withColumnRenamed("user_id", "sensor_id")
+    return slices.slice_counts(events, spark.read.parquet(found), "sensor_id", "event_id",
+                               F.col("event_type") == "click")
 
 
 _LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +44,12 @@ def as_text(log: DataFrame) -> DataFrame:
                       "segment_id", "offset")
 
 
-def create_stream_table(spark: SparkSession, scope: str, stream: str, columns: str) -> None:
-    """Scope and stream as database and table of the session catalog."""
+def create_stream_table(spark: SparkSession, scope: str, stream: str, columns: str,
+                        partition_by: Sequence[str] = ()) -> None:
+    """Scope and stream as database and table of the session catalog; partition columns are the table's last."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{scope}`")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{scope}`.`{stream}` ({columns}) USING parquet")
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{scope}`.`{stream}` ({columns}) USING parquet{parts}")
 
 
 def create_like(spark: SparkSession, table: str, source: str) -> None:

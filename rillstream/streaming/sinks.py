@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators import changes
 
 TRIGGER = "3 seconds"   # default micro-batch interval
+FAN = 8     # slots per level of stored batches
 
 
 def _start(writer: DataStreamWriter, once: bool, trigger: str) -> StreamingQuery:
@@ -81,14 +84,70 @@ def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> D
     return reader.option("basePath", path).parquet(f"{path}/batch=*").drop("batch")
 
 
+def write_levels(batch: DataFrame, batch_id: int, path: str, reduce: Callable[[DataFrame], DataFrame],
+                 fan: int = FAN) -> None:
+    """Store a reduced batch in a number of folders that grows with the logarithm of the batches.
+
+    ``reduce`` must take its own results and change nothing when rows come again (the newest row per key, the
+    smallest time per user). Each level has ``fan`` slots that are used in turns. When a level's last slot is
+    filled, its slots are reduced together into the next slot one level up, and only then are they used again: what a
+    slot loses when it is overwritten is in the level above already. The two marks are the manifest: they are written in
+    turns, after the batch and its reductions, and say which batch is stored in full. A batch that fails in between is
+    stored again from the start; one that is marked is left alone. Other numbers belong to
+    another checkpoint and are refused, since they would overwrite slots out of turn.
+    """
+    spark = batch.sparkSession
+    done = stored_until(spark, path)
+    if batch_id == done:
+        return
+    if done >= 0 and batch_id != done + 1:
+        raise ValueError(f"batch {batch_id} cannot follow batch {done} in {path}: one checkpoint per folder")
+    reduced = reduce(batch)
+    reduced.write.mode("overwrite").parquet(f"{path}/level=0/slot={batch_id % fan}")
+    level, full = 0, batch_id + 1
+    while full % fan == 0:
+        full //= fan
+        slots = spark.read.schema(reduced.schema).parquet(f"{path}/level={level}/slot=*")
+        level += 1
+        reduce(slots).write.mode("overwrite").parquet(f"{path}/level={level}/slot={(full - 1) % fan}")
+    spark.range(1).select(F.lit(batch_id).cast("long").alias("batch")).write.mode("overwrite").parquet(
+        f"{path}/marks/turn={batch_id % 2}")
+
+
+def stored_until(spark: SparkSession, path: str) -> int:
+    """Number of the last batch that `write_levels` stored in full; -1 if none."""
+    try:
+        marks = spark.read.schema("batch long").parquet(f"{path}/marks/turn=*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    last = marks.agg(F.max("batch")).first()[0]
+    return -1 if last is None else last
+
+
+def read_levels(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """Everything `write_levels` holds; a row may come several times, until it is reduced again."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/level=*/slot=*")
+
+
+def reduced_levels(stream: DataFrame, path: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame], *,
+                   once: bool = False, fan: int = FAN, mode: str = "append",
+                   trigger: str = TRIGGER) -> StreamingQuery:
+    """Keep a small table current: see `write_levels`."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_levels(batch, batch_id, path, reduce, fan)
+    return for_each_batch(stream, write, checkpoint, once=once, mode=mode, trigger=trigger)
+
+
 def keep_latest(stream: DataFrame, path: str, checkpoint: str, *, once: bool = False,
-                trigger: str = TRIGGER) -> StreamingQuery:
-    """Changelog to a compact log: per batch only the last change of each key is stored.
+                fan: int = FAN, trigger: str = TRIGGER) -> StreamingQuery:
+    """Changelog to a compact log: of each batch, and of each ``fan`` batches, the last change of each key is stored.
 
-    `current_table` folds the batches; no state is kept between them.
+    `current_table` folds what is there; no state is kept between batches.
     """
-    return exactly_once(stream, path, checkpoint, once=once, reduce=_last_changes,
-                        trigger=trigger)
+    return reduced_levels(stream, path, checkpoint, _last_changes, once=once, fan=fan, trigger=trigger)
 
 
 def _last_changes(batch: DataFrame) -> DataFrame:
@@ -98,15 +157,15 @@ def _last_changes(batch: DataFrame) -> DataFrame:
 
 
 def current_table(spark: SparkSession, path: str) -> DataFrame:
-    return changes.latest(read_batches(spark, path))
+    return changes.latest(read_levels(spark, path))
 
 
 def upsert_documents(stream: DataFrame, path: str, checkpoint: str, key: str, version: str, *,
-                     once: bool = False, trigger: str = TRIGGER) -> StreamingQuery:
-    """One document per key and batch; `current_documents` lets the newest version win."""
+                     once: bool = False, fan: int = FAN, trigger: str = TRIGGER) -> StreamingQuery:
+    """One document per key and slot of `write_levels`; `current_documents` lets the newest version win."""
     def newest(batch: DataFrame) -> DataFrame:
         return _newest(batch, key, version)
-    return exactly_once(stream, path, checkpoint, once=once, reduce=newest, trigger=trigger)
+    return reduced_levels(stream, path, checkpoint, newest, once=once, fan=fan, trigger=trigger)
 
 
 def _newest(df: DataFrame, key: str, version: str) -> DataFrame:
@@ -116,7 +175,7 @@ def _newest(df: DataFrame, key: str, version: str) -> DataFrame:
 
 
 def current_documents(spark: SparkSession, path: str, key: str, version: str) -> DataFrame:
-    return _newest(read_batches(spark, path), key, version)
+    return _newest(read_levels(spark, path), key, version)
 
 
 def progress(query: StreamingQuery) -> list[dict[str, object]]:

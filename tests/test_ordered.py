@@ -106,6 +106,12 @@ def test_bookmarks_and_counts(spark, width, fan):
     counted = slices.slice_counts(df, found, "key", "pos", F.col("value") < 0, block=32)
     assert {tuple(r) for r in counted.select("key", "start_offset", "end_offset",
                                              "n").collect()} == want
+    walked = slices.bookmark_counts(df, "key", "pos", F.col("value") < 0, F.col("value") < 0, width=width)
+    assert {tuple(r) for r in walked.collect()} == want
+    high = slices.bookmark_counts(df, "key", "pos", F.col("value") < 3, F.col("value") < 0, width=width)
+    runs = slices.bookmark_slices(df, "key", "pos", F.col("value") < 3, width=width)
+    joined = slices.slice_counts(df, runs, "key", "pos", F.col("value") < 0, block=32)
+    assert {tuple(r) for r in high.collect()} == {tuple(r) for r in joined.select(*high.columns).collect()}
 
 
 def replay_by_hand(data):

@@ -134,6 +134,31 @@ def test_cuts(spark):
         range(10))
 
 
+@pytest.mark.parametrize("width", [4, 7, 1000])
+def test_positions_by_blocks(spark, width):
+    """Offsets with gaps, a second stream that is short, bounds inside, at the edge of and beyond blocks."""
+    offsets = {"s": [i for i in range(60) if i % 7 != 3], "t": [5, 6]}
+    rows = [(s, o % 3, o, "day" + str(o // 10)) for s in offsets for o in offsets[s]]
+    log = spark.createDataFrame(rows, "stream string, segment_id int, offset long, day string").repartition(3)
+    for first, last in ((0, 1), (3, 20), (8, 8), (50, 52), (51, 90)):
+        got = {(r["stream"], r["segment_id"]): (r["start_offset"], r["end_offset"])
+               for r in slices.cuts_by_index(log, first, last, width=width).collect()}
+        want = {}
+        for s, known in offsets.items():
+            for segment in {o % 3 for o in known}:
+                mine = [(i, o) for i, o in enumerate(known) if o % 3 == segment]
+                start, end = (min((o for i, o in mine if i >= b), default=mine[-1][1] + 1) for b in (first, last))
+                want[s, segment] = (start, end if len(known) >= last else None)
+        assert got == want
+    ranges = slices.index_ranges(log, F.col("day"), width=width).collect()
+    want = {}
+    for s, known in offsets.items():
+        for i, o in enumerate(known):
+            low, _ = want.get((s, f"day{o // 10}"), (i, i))
+            want[s, f"day{o // 10}"] = (low, i + 1)
+    assert {(r["stream"], r["grp"]): (r["first_index"], r["end_index"]) for r in ranges} == want
+
+
 def test_csv_sink_and_retention(spark, tmp_path):
     df = spark.range(0, 7200, 60).select("id", F.timestamp_seconds("id").alias("at"))
     out = str(tmp_path / "kept")

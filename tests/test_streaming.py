@@ -202,3 +202,60 @@ def test_live_table_takes_the_later_log_file(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     sinks.keep_latest(stream, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
     assert {tuple(r) for r in sinks.current_table(spark, str(tmp_path / "out")).collect()} == {("x", 2.0), ("y", 2.0)}
+
+
+def folders(path):
+    return sorted(str(p.relative_to(path)) for p in path.glob("level=*/slot=*"))
+
+
+def least(df):
+    return df.groupBy("sensor").agg(F.min("at").alias("at"))
+
+
+def newest(df):
+    return df.groupBy("sensor").agg(F.max("at").alias("at"))
+
+
+def test_stored_batches_are_reduced_in_levels(spark, tmp_path):
+    """Twenty-one batches in slots of two; a retry of the last one and one of another job change nothing."""
+    path = tmp_path / "levels"
+    seen = {}
+    for number in range(21):
+        batch = spark.createDataFrame([(number % 5, number), (9, number)], "sensor int, at long").coalesce(1)
+        seen[number % 5] = seen[9] = number
+        sinks.write_levels(batch, number, str(path), newest, fan=2)
+        if number % 7 == 0:
+            got = newest(sinks.read_levels(spark, str(path)))
+            assert {r["sensor"]: r["at"] for r in got.collect()} == seen
+    assert len(folders(path)) <= 2 * 5 and sinks.stored_until(spark, str(path)) == 20
+    before = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    sinks.write_levels(batch, 20, str(path), newest, fan=2)
+    with pytest.raises(ValueError, match="one checkpoint per folder"):
+        sinks.write_levels(batch, 3, str(path), newest, fan=2)
+    assert before == {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("call", [1, 2, 3])
+def test_failure_between_the_parts_of_a_batch(spark, tmp_path, call):
+    """Batch 3 fails at its own write, the first or the second reduction; the retry stores it in full."""
+    path = str(tmp_path / "levels")
+
+    def batch(number):
+        return spark.createDataFrame([(number, 10 - number), (9, 10 - number)], "sensor int, at long").coalesce(1)
+
+    for number in range(3):
+        sinks.write_levels(batch(number), number, path, least, fan=2)
+    calls = []
+
+    def failing(df):
+        calls.append(1)
+        if len(calls) == call:
+            raise RuntimeError("injected failure")
+        return least(df)
+
+    with pytest.raises(RuntimeError, match="injected failure"):
+        sinks.write_levels(batch(3), 3, path, failing, fan=2)
+    assert sinks.stored_until(spark, path) == 2
+    sinks.write_levels(batch(3), 3, path, least, fan=2)
+    got = least(sinks.read_levels(spark, path)).collect()
+    assert {r["sensor"]: r["at"] for r in got} == {0: 10, 1: 9, 2: 8, 3: 7, 9: 7}
