@@ -3,8 +3,9 @@
 Every task keeps two bit arrays per filter segment: bits of keys it has seen, and bits of keys it has
 seen twice. Merged, ``twice = twice1 | twice2 | (once1 & once2)``, so a key of two documents is always in the
 second filter. Only lines found there are shuffled, as digests, to be confirmed and to find the first
-document. The filters' size follows the number of lines; where the second filter is larger than ``filter_bytes``
-it is not sent to the tasks, and all lines are treated as suspects: same result, a larger shuffle.
+document. The filters' size follows the number of lines. The second filter is sent to the tasks in groups of segments of
+about ``filter_bytes``, one after the other. With several groups the keys are first stored by group, where they arise,
+so that each group is a pass over its own keys only.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillstream.session import fresh_path
+
 from .common import per_slice, slices, stored
 
 MIN_CHARS = 10
@@ -26,8 +30,10 @@ SPACE = b" \t\n\v\f\r"
 SEGMENT_BITS = 1 << 20
 BITS_PER_LINE = 16
 FLUSH = 1 << 19
-#: Documents without an id count as one document, which comes after all others.
+#: Documents without an id come after all others; equal texts without one are the same document.
 NO_ID = (1 << 63) - 1
+#: Bytes of the second filter that the driver and a task hold at a time.
+FILTER_BYTES = 128 << 20
 
 
 def line_key(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
@@ -117,72 +123,107 @@ def _filters(docs: DataFrame, segments: int, min_chars: int) -> DataFrame:
         "segment").applyInPandas(merge, "segment long, twice binary")
 
 
-def _suspects(docs: DataFrame, segments: int, filters: DataFrame | None, min_chars: int) -> DataFrame:
-    """(doc, digest) of the lines that the second filter holds, once per row of ``docs``."""
-    shared = None
-    if filters is not None:
-        rows = filters.collect()  # bounded by the caller
-        shared = docs.sparkSession.sparkContext.broadcast(
-            {r["segment"]: bytes(r["twice"]) for r in rows if len(r["twice"]) > 1})
-    schema = pa.schema([("doc", pa.int64()), ("digest", pa.binary())])
-    opened: dict[int, np.ndarray] = {}
+def _named(docs: DataFrame) -> list[Column]:
+    """Columns (doc, part) that tell documents apart and order them."""
+    doc = docs["doc_id"].cast("long")
+    return [F.coalesce(doc, F.lit(NO_ID)).alias("doc"), F.when(doc.isNull(), F.xxhash64("text")).otherwise(0).alias("part")]
 
-    def repeated(keys: list[bytes]) -> list[bool]:
-        hashes = np.array([xxhash.xxh64_intdigest(k) for k in keys], np.uint64)
-        segment, places = _places(hashes, segments)
-        out = np.zeros(len(keys), bool)
-        for name in np.unique(segment):
-            data = shared.value.get(int(name))  # type: ignore[union-attr]
-            if data is None:
-                continue
-            if name not in opened:
-                opened[name] = (np.frombuffer(data, np.uint8, offset=1) if data[:1] == b"b"
-                                else np.packbits(_decode(data)))
-            mine = np.flatnonzero(segment == name)
-            at = places[mine]
-            out[mine] = ((opened[name][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
-        return out.tolist()
 
-    def run(rows: dict[str, list]) -> dict[str, list]:
-        doc, keys = [], []
-        for doc_id, text in zip(rows["doc"], rows["text"]):
-            mine = _keys(text, min_chars)
-            keys.extend(mine)
-            doc.extend([doc_id] * len(mine))
-        keep = repeated(keys) if shared is not None and keys else [shared is None] * len(keys)
-        return {"doc": [d for d, k in zip(doc, keep) if k],
-                "digest": [_digest(key) for key, k in zip(keys, keep) if k]}
+def _found(hashes: np.ndarray, segments: int, filters: dict[int, bytes], opened: dict[int, np.ndarray]) -> np.ndarray:
+    """Which hashes the second filter holds; ``opened`` keeps its segments as bits."""
+    out = np.zeros(len(hashes), bool)
+    segment, places = _places(hashes, segments)
+    for name in np.unique(segment):
+        data = filters.get(int(name))
+        if data is None:
+            continue
+        if name not in opened:
+            opened[name] = np.frombuffer(data, np.uint8, offset=1) if data[:1] == b"b" else np.packbits(_decode(data))
+        mine = np.flatnonzero(segment == name)
+        at = places[mine]
+        out[mine] = ((opened[name][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
+    return out
 
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text").mapInArrow(
-        per_slice(run, schema), "doc long, digest binary")
 
+def _sent(filters: DataFrame) -> Broadcast:
+    """Filter segments, of which the caller bounds the size, for the tasks."""
+    return filters.sparkSession.sparkContext.broadcast(
+        {r["segment"]: bytes(r["twice"]) for r in filters.collect() if len(r["twice"]) > 1})
 
-def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bytes: int = 256 << 20) -> DataFrame:
-    """(doc, digests): the keys, as digests, whose lines each document loses."""
+
+def _line_keys(docs: DataFrame, segments: int, groups: int, shared: Broadcast | None, min_chars: int) -> DataFrame:
+    """(doc, part, hash, grp, digest) of the keys of each row, with ``shared`` only of those that the second filter holds."""
+    schema = pa.schema([("doc", pa.int64()), ("part", pa.int64()), ("hash", pa.int64()), ("grp", pa.int64()), ("digest", pa.binary())])
+    opened: dict[int, np.ndarray] = {}
+
+    def run(rows: dict[str, list]) -> dict[str, list]:
+        at: list[int] = []
+        keys: list[bytes] = []
+        for row, text in enumerate(rows["text"]):
+            mine = _keys(text, min_chars)
+            keys.extend(mine)
+            at.extend([row] * len(mine))
+        hashes = np.array([xxhash.xxh64_intdigest(k) for k in keys], np.uint64)
+        kept = range(len(keys)) if shared is None else np.flatnonzero(_found(hashes, segments, shared.value, opened)).tolist()
+        left = hashes[kept] if len(kept) else np.empty(0, np.uint64)
+        return {"doc": [rows["doc"][at[i]] for i in kept], "part": [rows["part"][at[i]] for i in kept],
+                "hash": left.view(np.int64), "grp": _places(left, segments)[0] % groups, "digest": [_digest(keys[i]) for i in kept]}
+
+    return docs.select(*_named(docs), "text").mapInArrow(
+        per_slice(run, schema), "doc long, part long, hash long, grp long, digest binary")
+
+
+def _suspects(docs: DataFrame, segments: int, filters: DataFrame, min_chars: int, filter_bytes: int) -> DataFrame:
+    """(doc, part, digest) of the keys that the second filter holds, once per row of ``docs``."""
+    spark = docs.sparkSession
+    held, size = filters.where(F.length("twice") > 1).agg(F.count("*"), F.sum(F.length("twice"))).first()
+    groups = max(1, min(held, -(-(size or 0) // filter_bytes)))
+    if groups == 1:
+        return stored(_line_keys(docs, segments, 1, _sent(filters), min_chars).select("doc", "part", "digest"), "line-suspects")
+    path, out = fresh_path(spark, "line-keys"), fresh_path(spark, "line-suspects")
+    keys = _line_keys(docs, segments, groups, None, min_chars)
+    keys.write.partitionBy("grp").parquet(path)
+    keys = spark.read.schema(keys.schema).parquet(path)
+    for group in range(groups):
+        shared = _sent(filters.where(F.col("segment") % groups == group))
+        opened: dict[int, np.ndarray] = {}
+
+        def held(batches: Iterable[pa.RecordBatch], shared: Broadcast = shared,
+                 opened: dict[int, np.ndarray] = opened) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hashes = batch.column(2).to_numpy().view(np.uint64)
+                yield batch.filter(pa.array(_found(hashes, segments, shared.value, opened))).select(["doc", "part", "digest"])
+
+        mine = keys.where(F.col("grp") == group).select("doc", "part", "hash", "digest")
+        mine.mapInArrow(held, "doc long, part long, digest binary").write.parquet(f"{out}/grp={group}")
+        shared.destroy()
+    return spark.read.schema("doc long, part long, digest binary, grp long").parquet(out).drop("grp")
+
+
+def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """(doc, part, digests): the keys, as digests, whose lines each document loses."""
     lines = docs.select(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
     segments = max(64, -(-lines * BITS_PER_LINE // SEGMENT_BITS))
-    filters: DataFrame | None = None
-    if segments * SEGMENT_BITS // 8 <= 16 * filter_bytes:
-        filters = stored(_filters(docs, segments, min_chars), "line-filters")
-        if (filters.agg(F.sum(F.length("twice"))).first()[0] or 0) > filter_bytes:
-            filters = None
-    suspects = stored(_suspects(docs, segments, filters, min_chars), "line-suspects")
-    first = suspects.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where(
+    filters = stored(_filters(docs, segments, min_chars), "line-filters")
+    suspects = _suspects(docs, segments, filters, min_chars, filter_bytes)
+    name = F.struct("doc", "part")
+    first = suspects.groupBy("digest").agg(F.min(name).alias("first"), F.max(name).alias("last")).where(
         "first < last").select("digest", "first")
     first = stored(first, "line-firsts")
-    losing = suspects.join(first, "digest").where("doc <> first")
-    return losing.groupBy("doc").agg(F.collect_set("digest").alias("digests"))
+    losing = suspects.join(first, "digest").where(name != F.col("first"))
+    return losing.groupBy("doc", "part").agg(F.collect_set("digest").alias("digests"))
 
 
-def drop_repeated(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bytes: int = 256 << 20) -> DataFrame:
+def drop_repeated(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """``docs`` (doc_id, text, …) with the lines left in ``text``, and n_lines, n_dropped.
 
     Null and empty texts have one empty line. Rows that repeat a doc_id are parts of one
-    document; rows without one are together one document that comes last. Other columns stay as they are;
-    columns called n_lines or n_dropped are replaced.
+    document. Rows without one are documents that come last, in the order of a hash of their texts; those with
+    equal texts are one document. Other columns stay as they are; columns called n_lines or n_dropped are
+    replaced, and no column may be called __doc, __part, __digests or __cut.
     """
     lost = repeated_lines(docs, min_chars, filter_bytes).select(
-        F.col("doc").alias("__doc"), F.col("digests").alias("__digests"))
+        F.col("doc").alias("__doc"), F.col("part").alias("__part"), F.col("digests").alias("__digests"))
 
     @F.pandas_udf("text string, n_lines long, n_dropped long")
     def cut(texts: pd.Series, digests: pd.Series) -> pd.DataFrame:
@@ -199,8 +240,8 @@ def drop_repeated(docs: DataFrame, min_chars: int = MIN_CHARS, filter_bytes: int
         return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
 
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*columns).join(
-        lost, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("__doc"), "left")
+    doc, part = _named(docs)
+    rows = docs.select(*columns).join(lost, (doc == F.col("__doc")) & (part == F.col("__part")), "left")
     rows = rows.withColumn("__cut", cut("text", "__digests"))
     return rows.select(*(F.col("__cut.text").alias("text") if c == "text" else F.col(c) for c in columns),
                        "__cut.n_lines", "__cut.n_dropped")

@@ -60,6 +60,19 @@ def test_line_dedup(docs, empty):
     assert by_id[1]["fp"] == 7 and linededup.drop_repeated(empty).count() == 0
 
 
+def test_line_dedup_of_rows_without_an_id(spark):
+    """They are documents of their own after all others; equal texts are one document; groups of filters change nothing."""
+    rows = [(None, "shared by all of them\nonly in this one"), (None, "shared by all of them\nonly in that one"),
+            (9, "Shared by all of them"), (None, "twice without an id"), (None, "twice without an id"),
+            (None, "common to two rows\na"), (None, "common to two rows\nb"), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for filter_bytes in (linededup.FILTER_BYTES, 30):
+        got = sorted(r["text"] for r in linededup.drop_repeated(frame, filter_bytes=filter_bytes).collect())
+        first = "a" if "common to two rows\na" in got else "b"
+        assert got == sorted(["only in this one", "only in that one", "Shared by all of them", "twice without an id",
+                              "twice without an id", f"common to two rows\n{first}", "ab".replace(first, ""), ""])
+
+
 def test_licenses(docs, empty, spark):
     assert licenses.licenses(docs).count() == len(TEXTS) and licenses.licenses(empty).count() == 0
     mit = dict(reversed(licenses.TEMPLATES))["MIT"]
