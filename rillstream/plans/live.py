@@ -6,6 +6,7 @@ returns what was written. Windows still open at the end of the data are not emit
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,14 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
+def _in_files(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """The events dealt into files by number, as a stream of one file per batch."""
+    events = inputs.table(spark, sf_dir, "events")
+    path = fresh_path(spark, "event-files")
+    events.repartitionByRange(files, "event_id").write.parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _stored(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over all data that is there into files; read them back."""
     spark = stream.sparkSession
@@ -185,3 +194,57 @@ def stream_sector_average(spark: SparkSession, sf_dir: str) -> DataFrame:
                       once=True).awaitTermination()
     return changes.group_average(sinks.current_table(spark, f"{path}/latest"),
                                  inputs.sectors(spark, sf_dir)).withColumn("index", F.round("index", 6))
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def stream_failure_and_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that fails on purpose after it wrote its second batch, and goes on from its checkpoint: no row twice."""
+    path = fresh_path(spark, "failing")
+    stream = _in_files(spark, sf_dir).select("event_id", "event_type", "value")
+    failed: list[int] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_batch(batch, batch_id, f"{path}/out")
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("failure on purpose")
+
+    def run() -> None:
+        sinks.for_each_batch(stream, write, f"{path}/checkpoint", once=True).awaitTermination()
+
+    try:
+        run()
+    except StreamingQueryException:
+        if not failed:
+            raise
+        run()
+    return sinks.read_batches(spark, f"{path}/out")
+
+
+# The slower of two sources ends here.
+_CUT = "2024-01-16"
+_EVEN, _ODD = "user_id % 2 = 0", f"user_id % 2 <> 0 AND ts < TIMESTAMP '{_CUT}'"
+
+
+@query(f"""SELECT * FROM (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+    time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, event_type, count(*) AS cnt
+  FROM events WHERE {_EVEN} OR ({_ODD}) GROUP BY ALL)
+  WHERE window_end <= least((SELECT max(ts) FROM events WHERE {_EVEN}), (SELECT max(ts) FROM events WHERE {_ODD}))""")
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources in one window: it closes when the slower source is past it, whatever the faster one has seen."""
+    fast, slow = (live.watermarked(event_stream(spark, sf_dir).where(rows), "ts", "0 seconds") for rows in (
+        _EVEN, _ODD.replace("TIMESTAMP", "TIMESTAMP_NTZ")))
+    both = fast.unionByName(slow)
+    counts = both.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("cnt"))
+    return _stored(counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                                 "event_type", "cnt"), "two-sources")
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_timed_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default trigger of a batch every three seconds, stopped once idle, then started again on the same checkpoint."""
+    path = fresh_path(spark, "timed")
+    stream = _in_files(spark, sf_dir, 2).select("event_id", "user_id", "event_type")
+    for _ in range(2):
+        sinks.run_until_idle(sinks.append_files(stream, f"{path}/data", f"{path}/checkpoint"))
+    return spark.read.schema(stream.schema).parquet(f"{path}/data")

@@ -23,6 +23,14 @@ def _start(writer: DataStreamWriter, once: bool, trigger: str) -> StreamingQuery
     return writer.trigger(processingTime=trigger).start()
 
 
+def run_until_idle(query: StreamingQuery) -> None:
+    """Let a live query work off what its sources hold now, then stop it; it can go on from its checkpoint."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def append_files(stream: DataFrame, path: str, checkpoint: str, *, once: bool = False,
                  trigger: str = TRIGGER, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Exactly-once append: the sink's manifest lists each batch's files once."""
