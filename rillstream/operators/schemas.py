@@ -100,6 +100,38 @@ def as_json(df: DataFrame, schemas: Mapping[str, str], *, payload: str = "payloa
     return df.withColumn("json", text).drop(payload)
 
 
+def _nested(ddl: str) -> bool:
+    return any(isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) for f in T.StructType.fromDDL(ddl))
+
+
+def write_payload(record: Column, fmt: Column, *, nested: bool = False) -> Column:
+    """A record as text in the format named per row: json, xml or (records without nested fields) csv; null for others."""
+    out = F.when(fmt == "json", F.to_json(record)).when(fmt == "xml", F.to_xml(record))
+    return out if nested else out.when(fmt == "csv", F.to_csv(record))
+
+
+def read_payload(payload: Column, fmt: Column, ddl: str) -> Column:
+    """The record that `write_payload` wrote; only the row's own format is parsed. Null for other formats."""
+    out = F.when(fmt == "json", F.from_json(payload, ddl)).when(fmt == "xml", F.from_xml(payload, ddl))
+    return out if _nested(ddl) else out.when(fmt == "csv", F.from_csv(payload, F.lit(ddl)))
+
+
+def demultiplex_formats(df: DataFrame, schemas: Mapping[str, str], *, payload: str = "payload", tag: str = "type",
+                        fmt: str = "format") -> DataFrame:
+    """`demultiplex` where each row names its format as well: one struct column per known type."""
+    typed = [F.when(F.col(tag) == name, read_payload(F.col(payload), F.col(fmt), ddl)).alias(name.lower())
+             for name, ddl in schemas.items()]
+    return df.select(*[c for c in df.columns if c != payload], *typed)
+
+
+def formats_as_json(df: DataFrame, schemas: Mapping[str, str], *, payload: str = "payload", tag: str = "type",
+                    fmt: str = "format") -> DataFrame:
+    """Each record, whatever its format, as JSON text of its typed form; null for unknown types and formats."""
+    text = F.coalesce(*[F.to_json(F.when(F.col(tag) == name, read_payload(F.col(payload), F.col(fmt), ddl)))
+                        for name, ddl in schemas.items()])
+    return df.withColumn("json", text).drop(payload)
+
+
 def multiplex(frames: Mapping[str, DataFrame], *, version: int = 1,
               fmt: str = "json") -> DataFrame:
     """Records of several types as one stream of tag and payload."""

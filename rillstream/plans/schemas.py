@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import schemas
@@ -143,3 +143,56 @@ def codec_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT {_CODEC} AS codec, count(*) AS events FROM documents GROUP BY 1")
 def codecs_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.codecs_seen(_coded(spark, sf_dir))
+
+
+_ORDER = "key bigint, status string, priority string"
+_USER = "name string, address struct<nation:int,house:int>"
+# A subtype has the fields of its base type first.
+FORMATTED = {"Order": _ORDER, "User": _USER, "KeyUser": f"{_USER}, segment string"}
+_ORDER_FORMAT = "case o_orderkey % 3 when 0 then 'csv' when 1 then 'xml' else 'json' end"
+_USER_FORMAT = "case when c_custkey % 3 = 0 then 'xml' else 'json' end"
+
+
+def _formatted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in three formats, and users of two types with a nested address in two."""
+    order = F.struct(F.col("o_orderkey").cast("bigint").alias("key"), F.col("o_orderstatus").alias("status"),
+                     F.col("o_orderpriority").alias("priority"))
+    orders = inputs.table(spark, sf_dir, "orders").withColumn("format", F.expr(_ORDER_FORMAT)).select(
+        F.col("o_orderkey").alias("id"), F.lit("Order").alias("type"), "format",
+        schemas.write_payload(order, F.col("format")).alias("payload"))
+    base = [F.col("c_name").alias("name"),
+            F.struct(F.col("c_nationkey").cast("int").alias("nation"), F.expr("cast(c_custkey % 100 as int)").alias("house")).alias("address")]
+    key_user = F.col("c_custkey") % 4 == 0
+    customers = inputs.table(spark, sf_dir, "customer").withColumn("format", F.expr(_USER_FORMAT))
+    users = customers.select(
+        F.col("c_custkey").alias("id"), F.when(key_user, "KeyUser").otherwise("User").alias("type"), "format",
+        F.when(key_user, schemas.write_payload(F.struct(*base, F.col("c_mktsegment").alias("segment")),
+                                               F.col("format"), nested=True))
+        .otherwise(schemas.write_payload(F.struct(*base), F.col("format"), nested=True)).alias("payload"))
+    return orders.unionByName(users)
+
+
+_ADDRESS = "json_object('nation', c_nationkey, 'house', c_custkey % 100)"
+
+
+@query(f"""SELECT o_orderkey AS id, 'Order' AS type, {_ORDER_FORMAT} AS format,
+    json_object('key', o_orderkey, 'status', o_orderstatus, 'priority', o_orderpriority)::VARCHAR AS json FROM orders
+  UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'KeyUser' ELSE 'User' END, {_USER_FORMAT},
+    CASE WHEN c_custkey % 4 = 0
+      THEN json_object('name', c_name, 'address', {_ADDRESS}, 'segment', c_mktsegment)::VARCHAR
+      ELSE json_object('name', c_name, 'address', {_ADDRESS})::VARCHAR END FROM customer""")
+def formats_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schemas.formats_as_json(_formatted(spark, sf_dir), FORMATTED).select("id", "type", "format", "json")
+
+
+@query("""SELECT c_custkey AS id, c_name AS name, c_nationkey::INTEGER AS nation, (c_custkey % 100)::INTEGER AS house,
+  CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment END AS segment FROM customer""")
+def nested_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of both types by the fields of the base type, out of both formats."""
+    read = schemas.demultiplex_formats(_formatted(spark, sf_dir).where("type <> 'Order'"), FORMATTED)
+
+    def field(name: str) -> Column:
+        return F.coalesce(F.col(f"user.{name}"), F.col(f"keyuser.{name}"))
+
+    return read.select("id", field("name").alias("name"), field("address.nation").alias("nation"),
+                       field("address.house").alias("house"), F.col("keyuser.segment").alias("segment"))

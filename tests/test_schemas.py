@@ -63,3 +63,16 @@ def test_codecs(spark):
     assert back.where("codec = 'gzip' and hex(coded) not like '1F8B%'").count() == 0
     assert {r["codec"]: r["events"] for r in schemas.codecs_seen(df).collect()} == {
         "none": 5, "gzip": 5, "mycompression": 5}
+
+
+def test_formats_of_payloads(spark):
+    """Commas, quotes, markup and line ends survive each format; other formats and broken payloads give null."""
+    texts = ["a,b", 'say "x"', "<i>&amp;</i>", "two\nlines", "é"]
+    rows = [(i, f, t) for i, t in enumerate(texts) for f in ("json", "csv", "xml")]
+    df = spark.createDataFrame(rows, "n long, format string, t string")
+    written = df.select("n", "format", "t", schemas.write_payload(F.struct("n", "t"), F.col("format")).alias("payload"))
+    read = written.select("n", "t", schemas.read_payload(F.col("payload"), F.col("format"), "n long, t string").alias("r"))
+    assert all((r["n"], r["t"]) == tuple(r["r"]) for r in read.collect())
+    odd = spark.createDataFrame([("A", "json", '{"n": '), ("A", "avro", "x"), ("B", "json", '{"n": 1}'), ("A", "json", None)],
+                                "type string, format string, payload string")
+    assert [r["json"] in (None, "{}") for r in schemas.formats_as_json(odd, {"A": "n long"}).collect()] == [True] * 4
