@@ -32,7 +32,7 @@ BITS_PER_LINE = 16
 FLUSH = 1 << 19
 #: Documents without an id come after all others; equal texts without one are the same document.
 NO_ID = (1 << 63) - 1
-#: Bytes of the second filter that the driver and a task hold at a time.
+#: Bytes of the second filter, as bits, that the driver and a task hold at a time (one segment at least).
 FILTER_BYTES = 128 << 20
 
 
@@ -176,8 +176,8 @@ def _line_keys(docs: DataFrame, segments: int, groups: int, shared: Broadcast |
 def _suspects(docs: DataFrame, segments: int, filters: DataFrame, min_chars: int, filter_bytes: int) -> DataFrame:
     """(doc, part, digest) of the keys that the second filter holds, once per row of ``docs``."""
     spark = docs.sparkSession
-    held, size = filters.where(F.length("twice") > 1).agg(F.count("*"), F.sum(F.length("twice"))).first()
-    groups = max(1, min(held, -(-(size or 0) // filter_bytes)))
+    held = filters.where(F.length("twice") > 1).count()  # a task opens each of these as bits
+    groups = max(1, -(-held // max(1, filter_bytes * 8 // SEGMENT_BITS)))
     if groups == 1:
         return stored(_line_keys(docs, segments, 1, _sent(filters), min_chars).select("doc", "part", "digest"), "line-suspects")
     path, out = fresh_path(spark, "line-keys"), fresh_path(spark, "line-suspects")

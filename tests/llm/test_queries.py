@@ -188,10 +188,10 @@ def test_decontamination_with_a_crowded_bit_array(spark, docs, monkeypatch):
     assert {(r["doc_id"], tuple(r["items"])) for r in decontamination.contaminated_spans(frame, bench).collect()} == want
 
 
-def test_line_dedup_without_filter_is_the_same(spark, docs):
+def test_line_dedup_with_filters_in_groups_is_the_same(spark, docs):
     frame = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     expected = {d: x[2] for d, x in brute.line_dedup([(d, r["text"]) for d, r in docs.items()]).items()}
-    for filter_bytes in (256 << 20, 1):
+    for filter_bytes in (256 << 20, 16 * linededup.SEGMENT_BITS // 8):  # one group, four of the 64 segments
         got = linededup.drop_repeated(frame, filter_bytes=filter_bytes).collect()
         assert {r["doc_id"]: r["text"] for r in got} == expected
 
