@@ -9,11 +9,11 @@ expression has the same shared likelihood in both classes unless it clearly belo
 long or repetitive text has no more say than others. A text's score
 compares its two log-likelihoods per word, and a logistic curve turns the difference into a number from 0 to 1.
 
-The vocabulary and its frequencies are counted over all documents. A word rarer than one in ``MAX_WORDS`` stands as its
-stem (its first ``STEM`` bytes) with the other rare words of that stem, and if all of them are that rare too, as
-the one rare word, so the vocabulary has a proven size bound, as have the bigrams kept (at least one in ``MAX_BIGRAMS`` of
-the counted ones; the mass of the others goes to the level below). The two models are fitted on all labelled rows up
-to about ``sample_rows`` a class, beyond that on those with the smallest hashes.
+The two models are fitted on all labelled rows up to about ``sample_rows`` a class, beyond that on those with the
+smallest hashes. All their words and bigrams are kept, however rare; in bigrams a seldom word stands as its stem. The words of all documents are counted, and
+the words of the labelled rows take their frequencies from there. A word that no labelled row holds stands as its stem (its
+first ``STEM`` characters) with the other such words of that stem, and where no labelled word has that stem, as the one rare word.
+So what reaches the tasks is bounded by the labelled rows, while what is counted grows with the documents.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 
 from .common import per_slice, slices, stored
 
-MAX_WORDS = 1 << 17
-MAX_BIGRAMS = 1 << 19
 SAMPLE_ROWS = 20_000
 DISCOUNT = 0.75
 #: Standard deviations from the level below that still count as chance.
@@ -41,9 +39,11 @@ FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 FLUSH = 1 << 18
 _BLANK = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256))
 RARE = 0
-#: Leading bytes of a word that rare words are grouped by.
+#: Leading characters of a word that words without labels are grouped by.
 STEM = 5
-#: Starts the name of a group of rare words; no word has this byte.
+#: Words rarer than one in this many lean to a class together with their stem's other such words, and stand as it in bigrams.
+SELDOM = 1 << 17
+#: Starts the name of a group of words; no word has this byte.
 GROUP = b"\0"
 
 
@@ -52,10 +52,14 @@ def words_of(text: str | None) -> list[bytes]:
     return text.lower().encode().translate(_BLANK).split() if text else []
 
 
+def stem_of(word: bytes) -> bytes:
+    return word[:STEM] if word.isascii() else word.decode()[:STEM].encode()
+
+
 def numbered(ids: dict[bytes, int], text: str | None) -> np.ndarray:
-    """The ids of the words of a text, of rare words those of their stems."""
+    """The ids of the words of a text, of words without labels those of their stems."""
     words = words_of(text)
-    return np.fromiter((ids.get(word) or ids.get(GROUP + word[:STEM], RARE) for word in words), np.int64, len(words))
+    return np.fromiter((ids.get(word) or ids.get(GROUP + stem_of(word), RARE) for word in words), np.int64, len(words))
 
 
 def fold(doc_id: str) -> Column:
@@ -100,26 +104,31 @@ def labelled(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 class Model:
     """Log-likelihoods of both classes as arrays over word ids; id 0 is the rare word."""
 
-    def __init__(self, words: list[bytes], corpus: np.ndarray, pairs: np.ndarray, counts: np.ndarray,
-                 context: np.ndarray, followers: np.ndarray, pooled: np.ndarray) -> None:
-        """``pairs``/``counts``: kept bigrams (first * size + second) and their counts per class. ``context``:
-        bigrams counted per first word and class. ``followers``: the same per second word;
+    def __init__(self, ids: dict[bytes, int], corpus: np.ndarray, seldom: np.ndarray, stands: np.ndarray,
+                 pairs: np.ndarray, counts: np.ndarray, context: np.ndarray, followers: np.ndarray, pooled: np.ndarray) -> None:
+        """``ids``: the words in ascending order. ``stands``: what each stands as in bigrams, its stem where it is
+        ``seldom``. ``pairs``/``counts``: bigrams (first * size + second) and their counts per class. ``context``:
+        bigrams counted per first word and class, as these stand. ``followers``: the same per second word;
         ``pooled``: different first words per second word."""
         size = len(corpus)
-        self.ids = {word: i + 1 for i, word in enumerate(words)}
+        self.ids, self.stands = ids, stands
         base = (corpus + 1) / (corpus + 1).sum()
         rare = base[RARE]  # the rare word says nothing: it is as likely in both classes
         base = np.where(np.arange(size) == RARE, 0, base) / max(1 - rare, 1e-9) if size > 1 else base
         shared = self._below(followers.sum(axis=1), self._below(pooled, base))
         first, second = pairs // size, pairs % size
         self.size, self.pairs = size, pairs
-        single = self._discounted(followers, self._by_stem(words, followers, shared))
+        single = self._discounted(followers, self._by_stem(ids, seldom, followers, shared))
         # a class without learnable bigrams is as the shared model has it
         sums = single.sum(axis=0)
         single = np.where(sums > 0, single / np.where(sums > 0, sums, 1), shared[:, None])
         if size > 1:
             shared, single = shared * (1 - rare), single * (1 - rare)
             shared[RARE] = single[RARE] = rare
+        self.single = np.log(single)
+        # bigrams are of what the words stand as
+        single, shared = self._sums(stands, single), self._sums(stands, shared)
+        single[np.setdiff1d(np.arange(size), stands)] = shared[np.setdiff1d(np.arange(size), stands)] = 1
         # the bigram shared by both classes, leaning to the class as its second word does
         seen = np.maximum(context.sum(axis=1), 1)[first]
         gain = np.maximum(counts.sum(axis=1) - DISCOUNT, 0) / seen
@@ -128,26 +137,31 @@ class Model:
         total = context[first]
         pair = self._discounted(counts, total * leaning)
         pair = np.where(total > 0, pair / np.maximum(total, 1), leaning)
-        # kept bigrams leave a twentieth at least to all other words, which follow as the level below has them
+        # bigrams seen leave a twentieth at least to all other words, which follow as the level below has them
         kept, below = self._sums(first, pair), self._sums(first, single[second])
         pair = pair * np.minimum(1, 0.95 / np.maximum(kept, 1e-9))[first]
         weight = np.maximum(1 - kept, 0.05) / np.maximum(1 - below, 0.05)
-        self.single, self.pair, self.weight = np.log(single), np.log(pair), np.log(weight)
+        self.standing, self.weight = np.log(single), np.log(weight)
+        self.pair = np.log(pair).astype(np.float32)  # most of what the tasks are sent
 
     def _sums(self, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
         out = np.zeros((self.size, *values.shape[1:]))
         np.add.at(out, keys, values)
         return out
 
-    def _by_stem(self, words: list[bytes], followers: np.ndarray, shared: np.ndarray) -> np.ndarray:
-        """Counts of each word that its stem leads to expect in a class of that many words."""
+    def _by_stem(self, ids: dict[bytes, int], seldom: np.ndarray, followers: np.ndarray, shared: np.ndarray) -> np.ndarray:
+        """Counts of each word that its stem leads to expect in a class of that many words; a seldom word
+        leans as the seldom words of its stem do, and these towards the whole stem."""
         stems: dict[bytes, int] = {}
-        of = np.array([0, *(stems.setdefault(word.removeprefix(GROUP)[:STEM], len(stems) + 1) for word in words)])
-        counts, plain = np.zeros((len(stems) + 1, 2)), np.zeros(len(stems) + 1)
-        np.add.at(counts, of, followers)
-        np.add.at(plain, of, shared)
-        leaning = self._discounted(counts, followers.sum(axis=0) * plain[:, None]) / np.maximum(plain, 1e-300)[:, None]
-        return shared[:, None] * leaning[of]
+        of = np.array([0, *(stems.setdefault(stem_of(word.removeprefix(GROUP)), len(stems) + 1) for word in ids)])
+        expected = followers.sum(axis=0) * shared[:, None]
+        for members in (np.ones(self.size, bool), seldom):
+            counts, plain = np.zeros((len(stems) + 1, 2)), np.zeros((len(stems) + 1, 2))
+            np.add.at(counts, of[members], followers[members])
+            np.add.at(plain, of[members], expected[members])
+            leaning = self._discounted(counts, plain) / np.maximum(plain, 1e-300)
+            expected[members] *= leaning[of[members]]
+        return expected
 
     @staticmethod
     def _discounted(counts: np.ndarray, expected: np.ndarray) -> np.ndarray:
@@ -171,32 +185,44 @@ class Model:
             return 0, 0.0, 0.0
         total = self.single[ids].sum(axis=0)
         if len(ids) > 1:
-            first, second = ids[:-1], ids[1:]
+            first, second = self.stands[ids[:-1]], self.stands[ids[1:]]
             total = total + self.weight[first].sum(axis=0)
             if len(self.pairs):
                 keys = first * self.size + second
                 at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
                 hit = self.pairs[at] == keys
-                total = total + (self.pair[at[hit]] - self.weight[first[hit]] - self.single[second[hit]]).sum(axis=0)
+                total = total + (self.pair[at[hit]] - self.weight[first[hit]] - self.standing[second[hit]]).sum(axis=0)
         ordinary, toxic = total / (len(ids) + NEUTRAL)
         return len(ids), float(ordinary), float(toxic)
 
 
-def train(docs: DataFrame, sample: DataFrame, max_words: int = MAX_WORDS, max_bigrams: int = MAX_BIGRAMS) -> Model:
-    """Fit both models; what reaches the driver is bounded by ``max_words`` and ``max_bigrams``."""
+def train(docs: DataFrame, sample: DataFrame) -> Model:
+    """Fit both models; what reaches the driver is bounded by the words and bigrams of the rows of ``sample``.
+
+    Of rows with the same id one text is learned from, the smallest.
+    """
     spark = docs.sparkSession
     counts = stored(word_counts(docs), "toxic-words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    often = F.col("n") * max_words >= total
-    rare = counts.where(~often).groupBy(F.concat(F.lit(GROUP), F.substring("word", 1, STEM)).alias("word")).agg(
-        F.sum("n").alias("n"))
-    # words and groups count different tokens, so there are max_words of both at most
-    common = counts.where(often).union(rare.where(often)).orderBy("word").collect()
-    words = [bytes(r["word"]) for r in common]
-    corpus = np.array([total - sum(r["n"] for r in common), *(r["n"] for r in common)], np.float64)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(
+        F.broadcast(sample.where("fit")), "doc").groupBy("doc").agg(  # bounded by the sample's size
+            F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    texts = stored(texts.select("text", "toxic"), "toxic-texts")
+    own = stored(word_counts(texts).select("word"), "toxic-own")
+    stem = F.concat(F.lit(GROUP), F.substring(F.col("word").cast("string"), 1, STEM).cast("binary"))
+    others = counts.join(own, "word", "left_anti").groupBy(stem.alias("word")).agg(F.sum("n").alias("n"))
+    groups = own.select(stem.alias("word")).distinct().join(others, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
+    common = counts.join(own, "word").select("word", "n").union(groups).orderBy("word").toPandas()
+    words = [bytes(word) for word in common["word"]]
+    numbers = common["n"].to_numpy(np.float64)
+    corpus = np.array([total - numbers.sum(), *numbers], np.float64)
     size = len(corpus)
-    ids = spark.sparkContext.broadcast({word: i + 1 for i, word in enumerate(words)})
-    schema = pa.schema([("pair", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
+    number = {word: i + 1 for i, word in enumerate(words)}
+    seldom = np.array([False, *(word[:1] == GROUP or n * SELDOM < total for word, n in zip(words, numbers))])
+    stands = np.array([RARE, *(number[GROUP + stem_of(word.removeprefix(GROUP))] if rare else number[word]
+                               for word, rare in zip(words, seldom[1:]))])
+    ids, standing = spark.sparkContext.broadcast(number), spark.sparkContext.broadcast(stands)
+    schema = pa.schema([("pair", pa.int64()), ("stands", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -204,8 +230,9 @@ def train(docs: DataFrame, sample: DataFrame, max_words: int = MAX_WORDS, max_bi
 
         def flush() -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys >> 1), pa.array((keys & 1).astype(np.int32)),
-                                               pa.array(n.astype(np.int64))], schema=schema)
+            pair, of = keys >> 1, standing.value
+            return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(of[pair // size] * size + of[pair % size]),
+                                               pa.array((keys & 1).astype(np.int32)), pa.array(n.astype(np.int64))], schema=schema)
 
         for part in slices(batches):
             rows = part.to_pydict()
@@ -221,15 +248,12 @@ def train(docs: DataFrame, sample: DataFrame, max_words: int = MAX_WORDS, max_bi
         if held:
             yield flush()
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(
-        F.broadcast(sample.where("fit")), "doc").select("text", "toxic")  # bounded by the sample's size
-    pairs = texts.mapInArrow(count, "pair long, toxic int, n long").groupBy("pair").agg(
+    pairs = texts.mapInArrow(count, "pair long, stands long, toxic int, n long").groupBy("pair", "stands").agg(
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary"),
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
     pairs = stored(pairs, "toxic-bigrams")
-    counted = pairs.agg(F.sum(F.col("ordinary") + F.col("toxic"))).first()[0] or 0
-    kept = pairs.where((F.col("ordinary") + F.col("toxic")) * max_bigrams >= counted).where(
-        "ordinary + toxic > 1").orderBy("pair").toPandas()
+    kept = pairs.groupBy("stands").agg(*(F.sum(c).cast("int").alias(c) for c in ("ordinary", "toxic"))).orderBy(
+        "stands").toPandas()
 
     def dense(key: Column, *values: Column) -> np.ndarray:
         rows = pairs.groupBy(key.cast("long").alias("key")).agg(
@@ -239,10 +263,10 @@ def train(docs: DataFrame, sample: DataFrame, max_words: int = MAX_WORDS, max_bi
             out[rows["key"].to_numpy(np.int64)] = rows.drop(columns="key").to_numpy(np.float64)
         return out
 
-    first, second = F.floor(F.col("pair") / F.lit(size)), F.col("pair") % size
+    first, second = F.floor(F.col("stands") / F.lit(size)), F.col("pair") % size
     context = dense(first, F.sum("ordinary"), F.sum("toxic"))
     followers = dense(second, F.sum("ordinary"), F.sum("toxic"), F.count(F.lit(1)))
-    return Model(words, corpus, kept["pair"].to_numpy(np.int64), kept[["ordinary", "toxic"]].to_numpy(np.float64),
+    return Model(number, corpus, seldom, stands, kept["stands"].to_numpy(np.int64), kept[["ordinary", "toxic"]].to_numpy(np.float64),
                  context, followers[:, :2], followers[:, 2])
 
 
@@ -284,8 +308,9 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample.where("not fit")).withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi")
     known = likelihoods(chosen, model).join(
-        F.broadcast(sample.select(F.col("doc").alias("doc_id"), F.col("toxic").alias("y"))), "doc_id").toPandas()
-    slope, offset = curve((known["toxic"] - known["ordinary"]).to_numpy(float), known["y"].to_numpy(float))
+        F.broadcast(sample.select(F.col("doc").alias("doc_id"), F.col("toxic").alias("y"))), "doc_id").groupBy(
+            "doc_id").agg(F.avg(F.col("toxic") - F.col("ordinary")).alias("x"), F.max("y").alias("y")).orderBy("doc_id").toPandas()
+    slope, offset = curve(known["x"].to_numpy(float), known["y"].to_numpy(float))
     return model, slope, offset
 
 
