@@ -3,8 +3,9 @@
 Pages of a host are merged into one tree: a node is a path of tags with their classes, and holds how often it is
 presented with which children and how often which text stands below it. A node whose text and presentation are alike
 on all pages has low entropy and is unimportant (menus, footers, notices); such branches are removed from each page. What
-names itself a menu, form, advert or comment, by tag, role or class, has no importance; an article or main
-element, where a page has one, is important, and what lies beside it is not.
+names itself a menu, form, advert or comment, by tag, role or class, has no importance. An article or main
+element is presumed important: of it only texts are removed that stand on nearly all articles of the site (equal articles
+count once), and what lies beside it goes, unless more important text lies beside it than in it, as with a teaser.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ NOISE_NAMES = set("ad ads adv advert adverts advertisement advertising sponsor s
                   " modal overlay newsletter subscribe signup login search comment comments respond disqus share sharing"
                   " social related recommended widget toolbar pagination pager".split())
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+#: A class that starts with one of these says what an element has or lacks, not what it is.
+MODIFIERS = set("has with without no not hide show".split())
 ARTICLE = {"article", "main"}
 #: Opening one of these closes an open one of the others, up to their list or table.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -44,6 +47,10 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 MIN_PAGES = 4
 IMPORTANT = 0.2
 GAMMA = 0.9
+#: A text of an article is unimportant where this share of a site's articles has it at the same place, ...
+REPEATED = 0.9
+#: ... if the site has as many different articles at least; with fewer, near copies of one article would look like a frame.
+MIN_ARTICLES = 10
 FLUSH = 1 << 17
 
 
@@ -66,7 +73,8 @@ def _style(tag: str, attributes: str, in_article: bool) -> tuple[str, bool]:
             if key in ("class", "id"):
                 name += ("." if key == "class" else "#") + "_".join(value.split())
                 noise |= tag not in ARTICLE and tag not in ("html", "body") and any(
-                    part in NOISE_NAMES for part in re.split(r"[^a-z]+", value))
+                    parts[0] not in MODIFIERS and not NOISE_NAMES.isdisjoint(parts)
+                    for parts in (re.split(r"[^a-z]+", one) for one in value.split()))
             elif key == "role":
                 noise |= value.strip() in NOISE_ROLES
             elif key == "hidden":
@@ -155,44 +163,52 @@ def blocks(page: str | None) -> tuple[list[Block], dict[str, list[str]]]:
     return found, children
 
 
-def main_text(page: str | None, low: set[str]) -> str:
-    """Text of the blocks left when branches of low importance, and what lies beside an article, are removed."""
-    found = blocks(page)[0]
-    has_article = any(b.in_article and not b.noise for b in found)
+def digest(value: str) -> int:
+    return xxhash.xxh64_intdigest(value.encode()) >> 1
+
 
-    def unimportant(path: str) -> bool:
-        return any(path == p or path.startswith(p + ">") for p in low)
+def article_text(found: list[Block]) -> list[Block]:
+    return [b for b in found if b.in_article and not b.noise]
+
+
+def main_text(page: str | None, low: set[str]) -> str:
+    """Text of the blocks left when branches and texts of low importance, and what lies beside an article, are removed.
 
-    return "\n".join(b.text for b in found if not b.noise and (
-        b.in_article if has_article else not unimportant(b.path)))
+    ``low``: paths of nodes, and path, NUL and digest of repeated texts of articles.
+    """
+    found = blocks(page)[0]
+    nodes = tuple(p for p in low if "\0" not in p)
+    article = [b for b in article_text(found) if len(nodes) == len(low) or f"{b.path}\0{digest(b.text)}" not in low]
+    beside = [b for b in found if not b.noise and not b.in_article and not any(
+        b.path == p or b.path.startswith(p + ">") for p in nodes)]
+    if not article or sum(len(b.text) for b in beside) > sum(len(b.text) for b in article):
+        chosen = {id(b) for b in (*article, *beside)}
+        article = [b for b in found if id(b) in chosen]
+    return "\n".join(b.text for b in article)
 
 
 def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)), F.lit(""))
 
 
-def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, path, pages, importance) of the nodes of each host's merged tree.
+def features(pages: DataFrame) -> DataFrame:
+    """(host, path, kind, value, article, n, children): what the pages of each host show at each node, counted.
 
-    importance = (1 - g^l) * presentation + g^l * content, with l children on average: entropies of the ways the node is
-    presented, and of the texts of its leaves, as shares of the highest possible; 1 where fewer than ``min_pages``
-    pages have the node.
+    kind 0: the children of a node, 1: its text, 2: a text of an article, by the digest of the whole article (with the
+    path "" for the article itself).
     """
     schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("kind", pa.int32()), ("value", pa.int64()),
-                        ("n", pa.int64()), ("children", pa.int64())])
-
-    def digest(value: str) -> int:
-        return xxhash.xxh64_intdigest(value.encode()) >> 1
+                        ("article", pa.int64()), ("n", pa.int64()), ("children", pa.int64())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[tuple[str, str, int, int, int]] = Counter()
+        held: Counter[tuple[str, str, int, int, int, int]] = Counter()
 
         def flush() -> pa.RecordBatch:
-            rows = list(zip(*held)) if held else [[]] * 5
+            rows = list(zip(*held)) if held else [[]] * 6
             out = pa.RecordBatch.from_arrays(
                 [pa.array(rows[0], pa.string()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.int32()),
-                 pa.array(rows[3], pa.int64()), pa.array(list(held.values()), pa.int64()), pa.array(rows[4], pa.int64())],
-                schema=schema)
+                 pa.array(rows[3], pa.int64()), pa.array(rows[5], pa.int64()), pa.array(list(held.values()), pa.int64()),
+                 pa.array(rows[4], pa.int64())], schema=schema)
             held.clear()
             return out
 
@@ -201,20 +217,45 @@ def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
             for site, page in zip(rows["host"], rows["html"]):
                 found, children = blocks(page)
                 for path, names in children.items():
-                    held[site, path, 0, digest(">".join(names)), len(names)] += 1
+                    held[site, path, 0, digest(">".join(names)), len(names), 0] += 1
                 texts: dict[str, list[str]] = {}
                 for block in found:
                     texts.setdefault(block.path, []).append(block.text)
                 for path, parts in texts.items():
-                    held[site, path, 1, digest(" ".join(parts)), 0] += 1
+                    held[site, path, 1, digest(" ".join(parts)), 0, 0] += 1
+                article = article_text(found)
+                if article:
+                    whole = digest("\n".join(b.text for b in article))
+                    held[site, "", 2, whole, 0, whole] += 1
+                    for path, text in {(b.path, b.text) for b in article}:
+                        held[site, path, 2, digest(text), 0, whole] += 1
             if len(held) > FLUSH:
                 yield flush()
         yield flush()
 
     rows = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(
-        count, "host string, path string, kind int, value long, n long, children long")
-    rows = rows.groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n"), F.max("children").alias("children"))
-    nodes = rows.groupBy("host", "path", "kind").agg(
+        count, "host string, path string, kind int, value long, article long, n long, children long")
+    return rows.groupBy("host", "path", "kind", "value", "article").agg(
+        F.sum("n").alias("n"), F.max("children").alias("children"))
+
+
+def repeated_texts(features: DataFrame, share: float = REPEATED, min_articles: int = MIN_ARTICLES) -> DataFrame:
+    """(host, path, value) of texts that stand at the same place in at least ``share`` of the different articles of a host."""
+    seen = features.where("kind = 2").groupBy("host", "path", "value").count()
+    sites = features.where("kind = 2 and path = ''").groupBy("host").agg(F.count(F.lit(1)).alias("articles"))
+    return seen.where("path <> ''").where(F.col("count") >= share * min_articles).join(
+        sites.where(F.col("articles") >= min_articles), "host").where(
+            F.col("count") >= share * F.col("articles")).select("host", "path", "value")
+
+
+def style_tree(features: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, path, pages, importance) of the nodes of each host's merged tree.
+
+    importance = (1 - g^l) * presentation + g^l * content, with l children on average: entropies of the ways the node is
+    presented, and of the texts of its leaves, as shares of the highest possible; 1 where fewer than ``min_pages``
+    pages have the node.
+    """
+    nodes = features.where("kind < 2").groupBy("host", "path", "kind").agg(
         F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"),
         (F.sum(F.col("n") * F.col("children")) / F.sum("n")).alias("l"))
     entropy = F.when(F.col("m") < min_pages, 1.0).otherwise(
@@ -238,8 +279,11 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, important: float =
     Null and empty pages give an empty text; pages without a host are one site. Repeated rows count each. Other columns are
     left out.
     """
-    low = style_tree(pages, min_pages).where((F.col("importance") < important) & (F.col("path") != "")).groupBy(
-        "host").agg(F.collect_set("path").alias("low"))  # style paths of one site, not pages
+    shown = stored(features(pages), "page-features")
+    low = style_tree(shown, min_pages).where((F.col("importance") < important) & (F.col("path") != "")).select("host", "path")
+    texts = repeated_texts(shown).select("host", F.concat("path", F.lit("\0"), F.col("value").cast("string")).alias("path"))
+    # style paths and shared texts of one site, not pages
+    low = low.union(texts).groupBy("host").agg(F.collect_set("path").alias("low"))
     low = stored(low, "page-low").withColumnRenamed("host", "site")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     rows = rows.join(low, host(F.col("url")) == F.col("site"), "left")

@@ -222,6 +222,23 @@ def test_html(spark):
     assert webpages.main_texts(frame).count() == len(pages) and webpages.main_texts(frame.limit(0)).count() == 0
 
 
+def test_html_importance(spark):
+    """Texts that all articles of a site share go, teasers and names of what an element lacks or has do not mislead."""
+    own = "Some words of page {0} only, and {0} more of them"
+    pages = [(i, f"http://a.example/{i}", f"<article><p>{own.format(i)}</p><p>Read our other posts and like us</p></article>")
+             for i in range(12)]
+    same = "<article><p>One text</p><p>on all pages</p></article>"
+    pages += [(100 + i, f"http://copies.example/{i}", same) for i in range(30)]
+    pages += [(200 + i, f"http://few.example/{i}", f"<article><p>{own.format(i)}</p><p>By the same writer</p></article>") for i in range(5)]
+    pages += [(300, "http://b.example", f"<div class='has-sidebar content'><p>{own.format(0)}</p></div><div class='left sidebar'>no</div>"),
+              (301, "http://c.example", f"<div><p>{own.format(1)}</p></div><article><p>A teaser</p></article>")]
+    got = {r["page_id"]: r["text"] for r in webpages.main_texts(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: own.format(i) for i in range(12)}, **{100 + i: "One text\non all pages" for i in range(30)},
+                   **{200 + i: f"{own.format(i)}\nBy the same writer" for i in range(5)},
+                   300: own.format(0), 301: f"{own.format(1)}\nA teaser"}
+
+
 def test_near_duplicates(docs, empty):
     got = [(r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in simhash.near_duplicates(docs).collect()]
     key = lambda x: (x[0] is None, x[0] or 0, x[1])

@@ -243,3 +243,15 @@ def test_labels_of_one_class_remove_nothing(spark, label):
 def test_pattern_of_words_is_that_of_the_contract():
     text = "a\x0bb\x1cc\td e f"
     assert [w.decode() for w in text.encode().split()] == re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def test_toxicity_by_one_word(spark):
+    """Texts that differ in one word only, beyond ASCII; an unseen word of its stem leans the same way."""
+    text = lambda i: " ".join(f"w{(i * 7 + j * j) % 40}" for j in range(30))
+    plain, toxic = [(i, text(i)) for i in range(300)], [(1000 + i, text(i) + " жгучая") for i in range(100)]
+    docs = spark.createDataFrame([*plain, *toxic, (5000, text(3) + " жгучая"), (5001, text(3)), (5002, text(3) + " жгучий")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d >= 1000)) for d, _ in (*plain, *toxic)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, labels).collect()}
+    assert got[5000] >= 0.5 > got[5001]
+    assert got[5002] > got[5001]
