@@ -10,7 +10,8 @@ long or repetitive text has no more say than others. A text's score
 compares its two log-likelihoods per word, and a logistic curve turns the difference into a number from 0 to 1.
 
 The two models are fitted on all labelled rows up to about ``sample_rows`` a class, beyond that on those with the
-smallest hashes. All their words and bigrams are kept, however rare; in bigrams a seldom word stands as its stem. The words of all documents are counted, and
+smallest hashes. All their words are kept and all their bigrams counted, however rare; in bigrams a seldom word stands as its stem.
+A bigram of a single text never differs by more than chance from what its words lead to expect, so it follows from its words. The words of all documents are counted, and
 the words of the labelled rows take their frequencies from there. A word that no labelled row holds stands as its stem (its
 first ``STEM`` characters) with the other such words of that stem, and where no labelled word has that stem, as the one rare word.
 So what reaches the tasks is bounded by the labelled rows, while what is counted grows with the documents.
@@ -105,19 +106,16 @@ class Model:
     """Log-likelihoods of both classes as arrays over word ids; id 0 is the rare word."""
 
     def __init__(self, ids: dict[bytes, int], corpus: np.ndarray, seldom: np.ndarray, stands: np.ndarray,
-                 pairs: np.ndarray, counts: np.ndarray, context: np.ndarray, followers: np.ndarray, pooled: np.ndarray) -> None:
+                 followers: np.ndarray, pooled: np.ndarray, context: np.ndarray, gains: np.ndarray) -> None:
         """``ids``: the words in ascending order. ``stands``: what each stands as in bigrams, its stem where it is
-        ``seldom``. ``pairs``/``counts``: bigrams (first * size + second) and their counts per class. ``context``:
-        bigrams counted per first word and class, as these stand. ``followers``: the same per second word;
-        ``pooled``: different first words per second word."""
+        ``seldom``. ``followers``: bigrams counted per second word and class; ``pooled``: different first words per second
+        word. ``context``: bigrams counted per first word and class, as these stand; ``gains``: their counts less the discounts."""
         size = len(corpus)
-        self.ids, self.stands = ids, stands
+        self.ids, self.stands, self.size, self.context = ids, stands, size, context
         base = (corpus + 1) / (corpus + 1).sum()
         rare = base[RARE]  # the rare word says nothing: it is as likely in both classes
         base = np.where(np.arange(size) == RARE, 0, base) / max(1 - rare, 1e-9) if size > 1 else base
         shared = self._below(followers.sum(axis=1), self._below(pooled, base))
-        first, second = pairs // size, pairs % size
-        self.size, self.pairs = size, pairs
         single = self._discounted(followers, self._by_stem(ids, seldom, followers, shared))
         # a class without learnable bigrams is as the shared model has it
         sums = single.sum(axis=0)
@@ -125,24 +123,35 @@ class Model:
         if size > 1:
             shared, single = shared * (1 - rare), single * (1 - rare)
             shared[RARE] = single[RARE] = rare
-        self.single = np.log(single)
         # bigrams are of what the words stand as
-        single, shared = self._sums(stands, single), self._sums(stands, shared)
-        single[np.setdiff1d(np.arange(size), stands)] = shared[np.setdiff1d(np.arange(size), stands)] = 1
-        # the bigram shared by both classes, leaning to the class as its second word does
-        seen = np.maximum(context.sum(axis=1), 1)[first]
-        gain = np.maximum(counts.sum(axis=1) - DISCOUNT, 0) / seen
-        common = gain + np.maximum(1 - self._sums(first, gain), 0)[first] * shared[second]
-        leaning = common[:, None] * single[second] / shared[second][:, None]
-        total = context[first]
-        pair = self._discounted(counts, total * leaning)
-        pair = np.where(total > 0, pair / np.maximum(total, 1), leaning)
-        # bigrams seen leave a twentieth at least to all other words, which follow as the level below has them
-        kept, below = self._sums(first, pair), self._sums(first, single[second])
+        self.standing, self.common = self._sums(stands, single), self._sums(stands, shared)
+        unused = np.setdiff1d(np.arange(size), stands)
+        self.standing[unused] = self.common[unused] = 1
+        self.seen = np.maximum(context.sum(axis=1), 1)
+        self.free = np.maximum(1 - gains / self.seen, 0)
+        self.single = np.log(single)
+        self.keep(np.zeros(0, np.int64), np.zeros((0, 2)))
+
+    def leaning(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Likelihoods of bigrams per class from their counts.
+
+        The level below is the bigram shared by both classes, leaning to the class as its second word does.
+        """
+        first, second = pairs // self.size, pairs % self.size
+        common = np.maximum(counts.sum(axis=1) - DISCOUNT, 0) / self.seen[first] + self.free[first] * self.common[second]
+        below = common[:, None] * self.standing[second] / self.common[second][:, None]
+        total = self.context[first]
+        moved = self._discounted(counts, total * below)
+        return np.where(total > 0, moved / np.maximum(total, 1), below)
+
+    def keep(self, pairs: np.ndarray, pair: np.ndarray) -> None:
+        """Take in the likelihoods of bigrams; all others follow from their words."""
+        first, second = pairs // self.size, pairs % self.size
+        # bigrams kept leave a twentieth at least to all other words, which follow as the level below has them
+        kept, below = self._sums(first, pair), self._sums(first, self.standing[second])
         pair = pair * np.minimum(1, 0.95 / np.maximum(kept, 1e-9))[first]
         weight = np.maximum(1 - kept, 0.05) / np.maximum(1 - below, 0.05)
-        self.standing, self.weight = np.log(single), np.log(weight)
-        self.pair = np.log(pair).astype(np.float32)  # most of what the tasks are sent
+        self.pairs, self.pair, self.weight = pairs, np.log(pair).astype(np.float32), np.log(weight)
 
     def _sums(self, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
         out = np.zeros((self.size, *values.shape[1:]))
@@ -191,7 +200,7 @@ class Model:
                 keys = first * self.size + second
                 at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
                 hit = self.pairs[at] == keys
-                total = total + (self.pair[at[hit]] - self.weight[first[hit]] - self.standing[second[hit]]).sum(axis=0)
+                total = total + (self.pair[at[hit]] - self.weight[first[hit]] - np.log(self.standing[second[hit]])).sum(axis=0)
         ordinary, toxic = total / (len(ids) + NEUTRAL)
         return len(ids), float(ordinary), float(toxic)
 
@@ -252,10 +261,10 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary"),
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
     pairs = stored(pairs, "toxic-bigrams")
-    kept = pairs.groupBy("stands").agg(*(F.sum(c).cast("int").alias(c) for c in ("ordinary", "toxic"))).orderBy(
-        "stands").toPandas()
+    standing_pairs = stored(pairs.groupBy("stands").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
+                            "toxic-standing")
 
-    def dense(key: Column, *values: Column) -> np.ndarray:
+    def dense(pairs: DataFrame, key: Column, *values: Column) -> np.ndarray:
         rows = pairs.groupBy(key.cast("long").alias("key")).agg(
             *(v.alias(f"v{i}") for i, v in enumerate(values))).toPandas()  # a row per word at most
         out = np.zeros((size, len(values)))
@@ -263,11 +272,23 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
             out[rows["key"].to_numpy(np.int64)] = rows.drop(columns="key").to_numpy(np.float64)
         return out
 
-    first, second = F.floor(F.col("stands") / F.lit(size)), F.col("pair") % size
-    context = dense(first, F.sum("ordinary"), F.sum("toxic"))
-    followers = dense(second, F.sum("ordinary"), F.sum("toxic"), F.count(F.lit(1)))
-    return Model(number, corpus, seldom, stands, kept["stands"].to_numpy(np.int64), kept[["ordinary", "toxic"]].to_numpy(np.float64),
-                 context, followers[:, :2], followers[:, 2])
+    followers = dense(pairs, F.col("pair") % size, F.sum("ordinary"), F.sum("toxic"), F.count(F.lit(1)))
+    context = dense(standing_pairs, F.floor(F.col("stands") / F.lit(size)), F.sum("ordinary"), F.sum("toxic"),
+                    F.sum(F.greatest(F.col("ordinary") + F.col("toxic") - DISCOUNT, F.lit(0.0))))
+    model = Model(number, corpus, seldom, stands, followers[:, :2], followers[:, 2], context[:, :2], context[:, 2])
+    known = spark.sparkContext.broadcast(model)
+
+    def leaning(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ordinary, toxic = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
+            pair = known.value.leaning(keys, np.stack([ordinary, toxic], 1).astype(np.float64)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
+                                             ["stands", "ordinary", "toxic"])
+
+    kept = standing_pairs.where("ordinary + toxic > 1").mapInArrow(
+        leaning, "stands long, ordinary float, toxic float").orderBy("stands").toPandas()
+    model.keep(kept["stands"].to_numpy(np.int64), kept[["ordinary", "toxic"]].to_numpy(np.float32))
+    return model
 
 
 def likelihoods(docs: DataFrame, model: Broadcast) -> DataFrame:
