@@ -21,9 +21,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,21 +104,35 @@ def labelled(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     return rows.where(spread < F.element_at(share, F.col("toxic"))).withColumn("fit", fold("doc") != CALIBRATION)
 
 
+class Words:
+    """Words in ascending order, numbered from 1; sent to the tasks as an Arrow array, looked up in a dictionary made there."""
+
+    def __init__(self, words: pa.Array) -> None:
+        self.words = words
+
+    @cached_property
+    def ids(self) -> dict[bytes, int]:
+        return {word: i + 1 for i, word in enumerate(self.words.to_pylist())}
+
+    def __reduce__(self) -> tuple:
+        return Words, (self.words,)
+
+
 class Model:
     """Log-likelihoods of both classes as arrays over word ids; id 0 is the rare word."""
 
-    def __init__(self, ids: dict[bytes, int], corpus: np.ndarray, seldom: np.ndarray, stands: np.ndarray,
+    def __init__(self, words: Words, stems: np.ndarray, corpus: np.ndarray, seldom: np.ndarray, stands: np.ndarray,
                  followers: np.ndarray, pooled: np.ndarray, context: np.ndarray, gains: np.ndarray) -> None:
-        """``ids``: the words in ascending order. ``stands``: what each stands as in bigrams, its stem where it is
+        """``stems``: a number per stem, by word. ``stands``: what each stands as in bigrams, its stem where it is
         ``seldom``. ``followers``: bigrams counted per second word and class; ``pooled``: different first words per second
         word. ``context``: bigrams counted per first word and class, as these stand; ``gains``: their counts less the discounts."""
         size = len(corpus)
-        self.ids, self.stands, self.size, self.context = ids, stands, size, context
+        self.words, self.stands, self.size, self.context = words, stands, size, context
         base = (corpus + 1) / (corpus + 1).sum()
         rare = base[RARE]  # the rare word says nothing: it is as likely in both classes
         base = np.where(np.arange(size) == RARE, 0, base) / max(1 - rare, 1e-9) if size > 1 else base
         shared = self._below(followers.sum(axis=1), self._below(pooled, base))
-        single = self._discounted(followers, self._by_stem(ids, seldom, followers, shared))
+        single = self._discounted(followers, self._by_stem(stems, seldom, followers, shared))
         # a class without learnable bigrams is as the shared model has it
         sums = single.sum(axis=0)
         single = np.where(sums > 0, single / np.where(sums > 0, sums, 1), shared[:, None])
@@ -158,14 +174,13 @@ class Model:
         np.add.at(out, keys, values)
         return out
 
-    def _by_stem(self, ids: dict[bytes, int], seldom: np.ndarray, followers: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    def _by_stem(self, of: np.ndarray, seldom: np.ndarray, followers: np.ndarray, shared: np.ndarray) -> np.ndarray:
         """Counts of each word that its stem leads to expect in a class of that many words; a seldom word
         leans as the seldom words of its stem do, and these towards the whole stem."""
-        stems: dict[bytes, int] = {}
-        of = np.array([0, *(stems.setdefault(stem_of(word.removeprefix(GROUP)), len(stems) + 1) for word in ids)])
+        stems = int(of.max()) + 1
         expected = followers.sum(axis=0) * shared[:, None]
         for members in (np.ones(self.size, bool), seldom):
-            counts, plain = np.zeros((len(stems) + 1, 2)), np.zeros((len(stems) + 1, 2))
+            counts, plain = np.zeros((stems, 2)), np.zeros((stems, 2))
             np.add.at(counts, of[members], followers[members])
             np.add.at(plain, of[members], expected[members])
             leaning = self._discounted(counts, plain) / np.maximum(plain, 1e-300)
@@ -189,7 +204,7 @@ class Model:
 
     def likelihoods(self, text: str | None) -> tuple[int, float, float]:
         """Number of words, log-likelihood per word as an ordinary and as a toxic text."""
-        ids = numbered(self.ids, text)
+        ids = numbered(self.words.ids, text)
         if not len(ids):
             return 0, 0.0, 0.0
         total = self.single[ids].sum(axis=0)
@@ -221,16 +236,20 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
     stem = F.concat(F.lit(GROUP), F.substring(F.col("word").cast("string"), 1, STEM).cast("binary"))
     others = counts.join(own, "word", "left_anti").groupBy(stem.alias("word")).agg(F.sum("n").alias("n"))
     groups = own.select(stem.alias("word")).distinct().join(others, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
-    common = counts.join(own, "word").select("word", "n").union(groups).orderBy("word").toPandas()
-    words = [bytes(word) for word in common["word"]]
-    numbers = common["n"].to_numpy(np.float64)
-    corpus = np.array([total - numbers.sum(), *numbers], np.float64)
+    common = counts.join(own, "word").select("word", "n", stem.alias("stem")).union(
+        groups.select("word", "n", F.col("word").alias("stem"))).orderBy("word").toArrow().combine_chunks()
+    vocabulary, stem_column = (common[c].combine_chunks() for c in ("word", "stem"))
+    numbers = common["n"].to_numpy().astype(np.float64)
+    corpus = np.append(total - numbers.sum(), numbers)
     size = len(corpus)
-    number = {word: i + 1 for i, word in enumerate(words)}
-    seldom = np.array([False, *(word[:1] == GROUP or n * SELDOM < total for word, n in zip(words, numbers))])
-    stands = np.array([RARE, *(number[GROUP + stem_of(word.removeprefix(GROUP))] if rare else number[word]
-                               for word, rare in zip(words, seldom[1:]))])
-    ids, standing = spark.sparkContext.broadcast(number), spark.sparkContext.broadcast(stands)
+    stems = np.append(0, stem_column.dictionary_encode().indices.to_numpy(zero_copy_only=False) + 1)
+    seldom = np.append(False, numbers * SELDOM < total)
+    group = np.append(RARE, pc.index_in(stem_column, value_set=vocabulary).to_numpy(zero_copy_only=False) + 1)
+    seldom |= group == np.arange(size)
+    seldom[RARE] = False
+    stands = np.where(seldom, group, np.arange(size))
+    words = Words(vocabulary)
+    ids, standing = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(stands)
     schema = pa.schema([("pair", pa.int64()), ("stands", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +265,7 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
         for part in slices(batches):
             rows = part.to_pydict()
             for text, toxic in zip(rows["text"], rows["toxic"]):
-                mine = numbered(ids.value, text)
+                mine = numbered(ids.value.ids, text)
                 if len(mine) > 1:
                     known = (mine[:-1] != RARE) & (mine[1:] != RARE)
                     held.append(np.unique((mine[:-1] * size + mine[1:])[known]) * 2 + toxic)  # once per text
@@ -265,17 +284,17 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
                             "toxic-standing")
 
     def dense(pairs: DataFrame, key: Column, *values: Column) -> np.ndarray:
-        rows = pairs.groupBy(key.cast("long").alias("key")).agg(
-            *(v.alias(f"v{i}") for i, v in enumerate(values))).toPandas()  # a row per word at most
+        rows = pairs.groupBy(key.cast("int").alias("key")).agg(
+            *(v.cast("double").alias(f"v{i}") for i, v in enumerate(values))).toArrow()  # a row per word at most
         out = np.zeros((size, len(values)))
-        if len(rows):
-            out[rows["key"].to_numpy(np.int64)] = rows.drop(columns="key").to_numpy(np.float64)
+        for i in range(len(values)):
+            out[rows["key"].to_numpy(), i] = rows[f"v{i}"].to_numpy()
         return out
 
     followers = dense(pairs, F.col("pair") % size, F.sum("ordinary"), F.sum("toxic"), F.count(F.lit(1)))
     context = dense(standing_pairs, F.floor(F.col("stands") / F.lit(size)), F.sum("ordinary"), F.sum("toxic"),
                     F.sum(F.greatest(F.col("ordinary") + F.col("toxic") - DISCOUNT, F.lit(0.0))))
-    model = Model(number, corpus, seldom, stands, followers[:, :2], followers[:, 2], context[:, :2], context[:, 2])
+    model = Model(words, stems, corpus, seldom, stands, followers[:, :2], followers[:, 2], context[:, :2], context[:, 2])
     known = spark.sparkContext.broadcast(model)
 
     def leaning(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,8 +305,8 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
                                              ["stands", "ordinary", "toxic"])
 
     kept = standing_pairs.where("ordinary + toxic > 1").mapInArrow(
-        leaning, "stands long, ordinary float, toxic float").orderBy("stands").toPandas()
-    model.keep(kept["stands"].to_numpy(np.int64), kept[["ordinary", "toxic"]].to_numpy(np.float32))
+        leaning, "stands long, ordinary float, toxic float").orderBy("stands").toArrow()
+    model.keep(kept["stands"].to_numpy(), np.stack([kept[c].to_numpy() for c in ("ordinary", "toxic")], 1))
     return model
 
 
