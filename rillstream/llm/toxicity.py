@@ -250,7 +250,7 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
     stands = np.where(seldom, group, np.arange(size))
     words = Words(vocabulary)
     ids, standing = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(stands)
-    schema = pa.schema([("pair", pa.int64()), ("stands", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("pair", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -258,9 +258,7 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
 
         def flush() -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate(held), return_counts=True)
-            pair, of = keys >> 1, standing.value
-            return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(of[pair // size] * size + of[pair % size]),
-                                               pa.array((keys & 1).astype(np.int32)), pa.array(n.astype(np.int64))], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(keys >> 1), pa.array((keys & 1).astype(np.int32)), pa.array(n.astype(np.int64))], schema=schema)
 
         for part in slices(batches):
             rows = part.to_pydict()
@@ -276,11 +274,19 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
         if held:
             yield flush()
 
-    pairs = texts.mapInArrow(count, "pair long, stands long, toxic int, n long").groupBy("pair", "stands").agg(
+    pairs = texts.mapInArrow(count, "pair long, toxic int, n long").groupBy("pair").agg(
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary"),
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
     pairs = stored(pairs, "toxic-bigrams")
-    standing_pairs = stored(pairs.groupBy("stands").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
+    def stand(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = standing.value
+        for batch in batches:
+            pair = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(of[pair // size] * size + of[pair % size]), *batch.columns[1:]],
+                                             ["stands", "ordinary", "toxic"])
+
+    standing_pairs = pairs.mapInArrow(stand, "stands long, ordinary long, toxic long")
+    standing_pairs = stored(standing_pairs.groupBy("stands").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
                             "toxic-standing")
 
     def dense(pairs: DataFrame, key: Column, *values: Column) -> np.ndarray:
