@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ REACH = 3.0
 #: Words that say nothing and are counted with each text, so that chance in a text of a few words weighs little.
 NEUTRAL = 10
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
-FLUSH = 1 << 18
+FLUSH = 1 << 16
 _BLANK = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256))
 RARE = 0
 #: Leading characters of a word that words without labels are grouped by.
@@ -59,10 +58,22 @@ def stem_of(word: bytes) -> bytes:
     return word[:STEM] if word.isascii() else word.decode()[:STEM].encode()
 
 
-def numbered(ids: dict[bytes, int], text: str | None) -> np.ndarray:
-    """The ids of the words of a text, of words without labels those of their stems."""
-    words = words_of(text)
-    return np.fromiter((ids.get(word) or ids.get(GROUP + stem_of(word), RARE) for word in words), np.int64, len(words))
+def numbered(vocabulary: pa.Array, texts: list[str | None]) -> list[np.ndarray]:
+    """Per text the ids of its words, of words without labels those of their stems.
+
+    Ids are places in ``vocabulary`` from 1 on. Arrow looks all words up at once, so a task holds no dictionary of them.
+    """
+    said = [words_of(text) for text in texts]
+    distinct = pa.array([word for words in said for word in words], pa.binary()).dictionary_encode()
+    ids = pc.index_in(distinct.dictionary, value_set=vocabulary)
+    missing = distinct.dictionary.filter(ids.is_null())
+    ids = ids.to_numpy(zero_copy_only=False)
+    if len(missing):
+        stems = pa.array([GROUP + stem_of(word) for word in missing.to_pylist()], pa.binary())
+        ids = ids.astype(np.float64)
+        ids[np.isnan(ids)] = pc.fill_null(pc.index_in(stems, value_set=vocabulary), RARE - 1).to_numpy()
+    every = ids.astype(np.int64)[distinct.indices.to_numpy()] + 1
+    return np.split(every, np.cumsum([len(words) for words in said])[:-1]) if said else []
 
 
 def fold(doc_id: str) -> Column:
@@ -104,24 +115,10 @@ def labelled(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     return rows.where(spread < F.element_at(share, F.col("toxic"))).withColumn("fit", fold("doc") != CALIBRATION)
 
 
-class Words:
-    """Words in ascending order, numbered from 1; sent to the tasks as an Arrow array, looked up in a dictionary made there."""
-
-    def __init__(self, words: pa.Array) -> None:
-        self.words = words
-
-    @cached_property
-    def ids(self) -> dict[bytes, int]:
-        return {word: i + 1 for i, word in enumerate(self.words.to_pylist())}
-
-    def __reduce__(self) -> tuple:
-        return Words, (self.words,)
-
-
 class Model:
-    """Log-likelihoods of both classes as arrays over word ids; id 0 is the rare word."""
+    """Log-likelihoods of both classes as arrays over word ids; id 0 is the rare word, the others number ``words`` from 1 on."""
 
-    def __init__(self, words: Words, stems: np.ndarray, corpus: np.ndarray, seldom: np.ndarray, stands: np.ndarray,
+    def __init__(self, words: pa.Array, stems: np.ndarray, corpus: np.ndarray, seldom: np.ndarray, stands: np.ndarray,
                  followers: np.ndarray, pooled: np.ndarray, context: np.ndarray, gains: np.ndarray) -> None:
         """``stems``: a number per stem, by word. ``stands``: what each stands as in bigrams, its stem where it is
         ``seldom``. ``followers``: bigrams counted per second word and class; ``pooled``: different first words per second
@@ -202,14 +199,24 @@ class Model:
         gain = np.maximum(counts - DISCOUNT, 0)
         return (gain + (total - gain.sum()) * lower) / total
 
-    def likelihoods(self, text: str | None) -> tuple[int, float, float]:
-        """Number of words, log-likelihood per word as an ordinary and as a toxic text."""
-        ids = numbered(self.words.ids, text)
+    def __getstate__(self) -> dict:
+        """What ``likelihoods`` needs; what is known of bigrams only for words that others stand as, renumbered in their order."""
+        used, stands = np.unique(self.stands, return_inverse=True)
+        first, second = (np.searchsorted(used, x) for x in (self.pairs // self.size, self.pairs % self.size))
+        return {"words": self.words, "single": self.single, "stands": stands.astype(np.int32), "size": len(used),
+                "standing": self.standing[used], "weight": self.weight[used], "pairs": first * len(used) + second, "pair": self.pair}
+
+    def likelihoods(self, texts: list[str | None]) -> list[tuple[int, float, float]]:
+        """Per text the number of words, log-likelihood per word as an ordinary and as a toxic text."""
+        return [self._likelihood(ids) for ids in numbered(self.words, texts)]
+
+    def _likelihood(self, ids: np.ndarray) -> tuple[int, float, float]:
         if not len(ids):
             return 0, 0.0, 0.0
         total = self.single[ids].sum(axis=0)
         if len(ids) > 1:
-            first, second = self.stands[ids[:-1]], self.stands[ids[1:]]
+            stands = self.stands[ids].astype(np.int64)
+            first, second = stands[:-1], stands[1:]
             total = total + self.weight[first].sum(axis=0)
             if len(self.pairs):
                 keys = first * self.size + second
@@ -248,8 +255,7 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
     seldom |= group == np.arange(size)
     seldom[RARE] = False
     stands = np.where(seldom, group, np.arange(size))
-    words = Words(vocabulary)
-    ids, standing = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(stands)
+    words, standing = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(stands.astype(np.int32))
     schema = pa.schema([("pair", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +268,7 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
 
         for part in slices(batches):
             rows = part.to_pydict()
-            for text, toxic in zip(rows["text"], rows["toxic"]):
-                mine = numbered(ids.value.ids, text)
+            for mine, toxic in zip(numbered(words.value, rows["text"]), rows["toxic"]):
                 if len(mine) > 1:
                     known = (mine[:-1] != RARE) & (mine[1:] != RARE)
                     held.append(np.unique((mine[:-1] * size + mine[1:])[known]) * 2 + toxic)  # once per text
@@ -278,8 +283,10 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("ordinary"),
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
     pairs = stored(pairs, "toxic-bigrams")
+    words.destroy()
+
     def stand(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = standing.value
+        of = standing.value.astype(np.int64)
         for batch in batches:
             pair = batch.column(0).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([pa.array(of[pair // size] * size + of[pair % size]), *batch.columns[1:]],
@@ -288,6 +295,7 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
     standing_pairs = pairs.mapInArrow(stand, "stands long, ordinary long, toxic long")
     standing_pairs = stored(standing_pairs.groupBy("stands").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
                             "toxic-standing")
+    standing.destroy()
 
     def dense(pairs: DataFrame, key: Column, *values: Column) -> np.ndarray:
         rows = pairs.groupBy(key.cast("int").alias("key")).agg(
@@ -300,19 +308,16 @@ def train(docs: DataFrame, sample: DataFrame) -> Model:
     followers = dense(pairs, F.col("pair") % size, F.sum("ordinary"), F.sum("toxic"), F.count(F.lit(1)))
     context = dense(standing_pairs, F.floor(F.col("stands") / F.lit(size)), F.sum("ordinary"), F.sum("toxic"),
                     F.sum(F.greatest(F.col("ordinary") + F.col("toxic") - DISCOUNT, F.lit(0.0))))
-    model = Model(words, stems, corpus, seldom, stands, followers[:, :2], followers[:, 2], context[:, :2], context[:, 2])
-    known = spark.sparkContext.broadcast(model)
-
-    def leaning(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, ordinary, toxic = (column.to_numpy(zero_copy_only=False) for column in batch.columns)
-            pair = known.value.leaning(keys, np.stack([ordinary, toxic], 1).astype(np.float64)).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
-                                             ["stands", "ordinary", "toxic"])
-
-    kept = standing_pairs.where("ordinary + toxic > 1").mapInArrow(
-        leaning, "stands long, ordinary float, toxic float").orderBy("stands").toArrow()
-    model.keep(kept["stands"].to_numpy(), np.stack([kept[c].to_numpy() for c in ("ordinary", "toxic")], 1))
+    model = Model(vocabulary, stems, corpus, seldom, stands, followers[:, :2], followers[:, 2], context[:, :2], context[:, 2])
+    kept = standing_pairs.where("ordinary + toxic > 1").select(
+        "stands", F.col("ordinary").cast("int").alias("ordinary"), F.col("toxic").cast("int").alias("toxic")).orderBy("stands").toArrow()
+    keys = kept["stands"].to_numpy()
+    pair = np.empty((len(keys), 2), np.float32)
+    for at in range(0, len(keys), FLUSH):
+        some = slice(at, at + FLUSH)
+        counts = np.stack([kept[c].slice(at, FLUSH).to_numpy() for c in ("ordinary", "toxic")], 1).astype(np.float64)
+        pair[some] = model.leaning(keys[some], counts)
+    model.keep(keys, pair)
     return model
 
 
@@ -321,7 +326,7 @@ def likelihoods(docs: DataFrame, model: Broadcast) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ordinary", pa.float64()), ("toxic", pa.float64())])
 
     def run(rows: dict[str, list]) -> dict[str, list]:
-        found = [model.value.likelihoods(text) for text in rows["text"]]
+        found = model.value.likelihoods(rows["text"])
         return {"doc_id": rows["doc_id"], "n": [f[0] for f in found], "ordinary": [f[1] for f in found],
                 "toxic": [f[2] for f in found]}
 
@@ -384,7 +389,7 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             texts = part.column(part.schema.get_field_index("text")).to_pylist()
-            found = [model.value.likelihoods(text) for text in texts]
+            found = model.value.likelihoods(texts)
             odds = np.array([slope * (f[2] - f[1]) + offset for f in found])
             with np.errstate(over="ignore"):
                 yield part.filter(pa.array(1 / (1 + np.exp(-odds)) < 0.5))
