@@ -10,11 +10,14 @@ tells how many those are, the more exactly the fewer. Candidates with more odd b
 Buckets compare their members with a pivot, first each with the pivot most like it, then those not in its component yet, and in
 further turns with other pivots where a bucket still holds several components. What is left there is refined by rare shingles: two sets of
 similarity s share one of their ceil((1 - s) n) + 1 rarest shingles (prefix filter), so only classes that share
-such a shingle and are in different components are compared pair by pair.
+such a shingle and are in different components are compared pair by pair. Of these a pair is listed only where two exact bounds allow the
+similarity: the shingles that follow the shared one, and the parities of the sets: each shingle flips one of PARITY_BITS bits, and sets
+that differ in d shingles differ in d of these bits at most.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import sqrt
 
 import numpy as np
@@ -32,6 +35,7 @@ SIMILARITY = 0.8
 BANDS = 32
 BAND_ROWS = 5
 SKETCH_BITS = 256
+PARITY_BITS = 1024
 SEED = 42
 #: Keys of classes that are sent to every task at most (some 100 MB); more are joined by a shuffle.
 SENT_KEYS = 1 << 20
@@ -68,14 +72,19 @@ def keys(text: Column) -> Column:
     return run(text)
 
 
-def shingles(words_of_text: bytes, words: int = WORDS) -> np.ndarray:
-    """Distinct 64-bit hashes of the word shingles of ``spoken`` words; fewer words are one shingle, none gives none."""
+def hashes_of(words_of_text: bytes, words: int = WORDS) -> np.ndarray:
+    """64-bit hashes of the word shingles of ``spoken`` words, repeats included; fewer words are one shingle, none gives none."""
     if not words_of_text:
         return np.empty(0, np.uint64)
     ends = [*(np.flatnonzero(np.frombuffer(words_of_text, np.uint8) == 32).tolist()), len(words_of_text)]
     starts = [0, *(end + 1 for end in ends[:-1])]
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(words_of_text[a:b], SEED) for a, b in zip(starts, ends[words - 1:] or ends[-1:])], np.uint64))
+    return np.array([digest(words_of_text[a:b], SEED) for a, b in zip(starts, ends[words - 1:] or ends[-1:])], np.uint64)
+
+
+def shingles(words_of_text: bytes, words: int = WORDS) -> np.ndarray:
+    """The distinct ``hashes_of`` a text, ascending."""
+    return np.unique(hashes_of(words_of_text, words))
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
@@ -100,6 +109,12 @@ def odd_sketch(least: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
+def parities(hashes: np.ndarray) -> list[int]:
+    """PARITY_BITS bits as 64-bit numbers; a bit is set if an odd number of the shingles fall on it."""
+    odd = np.bincount((hashes % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def odd_bits(similarity: float) -> tuple[float, float]:
     """Expected population count of the exclusive or of two sketches at a similarity, and its standard deviation."""
     samples = BANDS * BAND_ROWS
@@ -119,30 +134,37 @@ def similar(n: Column, m: Column, both: Column, similarity: float) -> Column:
     return both.cast("double") >= F.lit(similarity) * (n + m - both) - 1e-9
 
 
-def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, k1, k2, n, buckets, sketch) of every row: distinct shingles, bucket numbers and odd sketch."""
+def signatures(docs: DataFrame, words: int = WORDS, fingerprint: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """(doc_id, k1, k2, n, buckets, sketch) of every row: distinct shingles, bucket numbers and odd sketch.
+
+    ``fingerprint`` adds a column fp, made from the ``hashes_of`` each text.
+    """
     fields = [("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()),
               ("buckets", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+    columns = "doc_id long, k1 long, k2 long, n long, buckets array<long>, sketch array<long>"
+    if fingerprint:
+        fields, columns = [*fields, ("fp", pa.int64())], columns + ", fp long"
 
     def run(rows: dict[str, list]) -> dict[str, list]:
         said = [spoken(text) for text in rows["text"]]
-        found = [shingles(x, words) for x in said]
+        every = [hashes_of(x, words) for x in said]
+        found = [np.unique(x) for x in every]
         least = [minima(f) if len(f) else None for f in found]
         k1, k2 = zip(*map(key_of, said))
         return {"doc_id": rows["doc_id"], "k1": k1, "k2": k2, "n": [len(f) for f in found],
                 "buckets": [buckets(x) if x is not None else [] for x in least],
-                "sketch": [odd_sketch(x) if x is not None else [] for x in least]}
+                "sketch": [odd_sketch(x) if x is not None else [] for x in least]} | (
+                    {"fp": [fingerprint(x) for x in every]} if fingerprint else {})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        per_slice(run, pa.schema(fields)),
-        "doc_id long, k1 long, k2 long, n long, buckets array<long>, sketch array<long>")
+        per_slice(run, pa.schema(fields)), columns)
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """(node, k1, k2, first, copies, n, buckets, sketch) of every class of ``signatures``, numbered: its smallest doc_id and its rows."""
+    """(node, k1, k2, first, copies, n, buckets, sketch, fp if there) of every class of ``signatures``, numbered: its smallest doc_id and its rows."""
+    same = [F.first(c).alias(c) for c in rows.columns if c not in ("doc_id", "k1", "k2")]
     return rows.groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"),
-        F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")).withColumn("node", F.monotonically_increasing_id())
+        F.min("doc_id").alias("first"), F.count("*").alias("copies"), *same).withColumn("node", F.monotonically_increasing_id())
 
 
 def bounded(keys: DataFrame) -> DataFrame:
@@ -151,17 +173,18 @@ def bounded(keys: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """(node, hashes): the shingles of the classes ``wanted`` (node, k1, k2)."""
-    fields = [("node", pa.int64()), ("hashes", pa.list_(pa.int64()))]
+    """(node, hashes, parity): the shingles of the classes ``wanted`` (node, k1, k2) and their ``parities``."""
+    fields = [("node", pa.int64()), ("hashes", pa.list_(pa.int64())), ("parity", pa.list_(pa.int64()))]
 
     def run(rows: dict[str, list]) -> dict[str, list]:
-        return {"node": rows["node"], "hashes": [shingles(spoken(text), words).view(np.int64) for text in rows["text"]]}
+        found = [shingles(spoken(text), words) for text in rows["text"]]
+        return {"node": rows["node"], "hashes": [x.view(np.int64) for x in found], "parity": [parities(x) for x in found]}
 
     texts = docs.select("text", keys(F.col("text")).alias("key")).select("text", "key.*").join(
         bounded(wanted), ["k1", "k2"]).select("node", "text")
     # copies in a partition give one row; their sets are the same
-    return texts.mapInArrow(per_slice(run, pa.schema(fields)), "node long, hashes array<long>").groupBy("node").agg(
-        F.first("hashes").alias("hashes"))
+    return texts.mapInArrow(per_slice(run, pa.schema(fields)), "node long, hashes array<long>, parity array<long>").groupBy("node").agg(
+        F.first("hashes").alias("hashes"), F.first("parity").alias("parity"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -184,9 +207,9 @@ def _starred(members: DataFrame, bucket: str, turn: int) -> DataFrame:
     return stored(members.join(stored(pivots, "near-pivots"), bucket).where("node <> pivot"), "near-members")
 
 
-def _odd(one: str, other: str) -> Column:
+def _odd(one: str, other: str, bits: int = SKETCH_BITS) -> Column:
     """Population count of the exclusive or of two sketches."""
-    return sum((F.bit_count(F.get(one, F.lit(i)).bitwiseXOR(F.get(other, F.lit(i)))) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return sum((F.bit_count(F.get(one, F.lit(i)).bitwiseXOR(F.get(other, F.lit(i)))) for i in range(bits // 64)), F.lit(0))
 
 
 def _likely(pairs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
@@ -211,13 +234,21 @@ def _mixed(members: DataFrame, roots: DataFrame, bucket: str) -> DataFrame:
     return stored(placed.join(stored(several, "near-mixed"), bucket, "left_semi"), "near-open")
 
 
-def near_links(found: DataFrame, docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) between nodes of ``found`` (see ``classes``) that connect what all alike pairs that share a bucket would connect."""
+def near_links(found: DataFrame, docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
+               before: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) between nodes of ``found`` (see ``classes``) that connect what all alike pairs that share a bucket would connect.
+
+    ``before``: pairs (node, pivot) that another search has found; they are confirmed first.
+    """
     members = _starred(found.select(F.explode("buckets").alias("bucket"), "node"), "bucket", 0)
     stars = stored(_likely(members.select("node", "pivot").distinct(), found, similarity), "near-stars")
     # a bucket of two is decided by its one pair
     crowd = members.where("size > 2").select("bucket", "node")
-    named = stars.select("node").union(stars.select("pivot")).union(crowd.select("node")).distinct()
+    named = stars.select("node").union(stars.select("pivot")).union(crowd.select("node"))
+    if before is not None:
+        before = stored(_likely(before, found, similarity).select("node", "pivot"), "near-before")
+        named = named.union(before.select("node")).union(before.select("pivot"))
+    named = named.distinct()
     wanted = stored(found.select("node", "k1", "k2").join(named, "node", "left_semi"), "near-wanted")
     sets = stored(shingle_sets(docs, wanted, words), "near-sets")
 
@@ -226,7 +257,8 @@ def near_links(found: DataFrame, docs: DataFrame, words: int = WORDS, similarity
                           sets, similarity)
         return stored(links if edges is None else edges.union(links), "near-links")
 
-    edges = tried(None, stars.groupBy("node").agg(F.min_by("pivot", "odd").alias("pivot")))
+    edges = tried(None, before) if before is not None else None
+    edges = tried(edges, stars.groupBy("node").agg(F.min_by("pivot", "odd").alias("pivot")))
     edges = tried(edges, stored(_apart(stars, components(edges)), "near-apart"))
     for turn in range(1, len(TURNS)):
         roots = components(edges)
@@ -244,13 +276,18 @@ def near_links(found: DataFrame, docs: DataFrame, words: int = WORDS, similarity
     # of a pair the smaller set needs the shorter prefix: the two share at least 2 s / (1 + s) of its shingles
     longer, shorter = (n - F.ceil(F.lit(share) * n - 1e-9).cast("int") + 1 for share in (similarity, 2 * similarity / (1 + similarity)))
     rare = ranked.select("node", n.alias("n"), shorter.alias("shorter"), F.posexplode(F.slice("ranked", F.lit(1), longer)).alias("place", "r"))
-    rare = stored(rare.where("r.texts > 1").select(F.col("r.token").alias("token"), "node", "n", F.expr("place < shorter").alias("short")),
+    rare = stored(rare.where("r.texts > 1").select(F.col("r.token").alias("token"), "node", "n", "place", F.expr("place < shorter").alias("short")),
                   "near-rare")
-    left = _mixed(rare.select("token", "node"), roots, "token").join(rare, ["token", "node"]).join(found.select("node", "sketch"), "node")
+    left = _mixed(rare.select("token", "node"), roots, "token").join(rare, ["token", "node"]).join(
+        found.select("node", "sketch"), "node").join(sets.select("node", "parity"), "node")
     other = left.where("short").select("token", F.col("node").alias("pivot"), F.col("root").alias("other_root"), F.col("n").alias("m"),
-                                       F.col("sketch").alias("other"))
+                                       F.col("place").alias("other_place"), F.col("sketch").alias("other"), F.col("parity").alias("other_parity"))
+    # the shingles an alike pair shares at least; the first it shares has this many after it, itself included, in both
+    shared = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("m")) - 1e-9)
     last = left.join(other, "token").where("root <> other_root and (n > m or n = m and node > pivot)").where(
-        (F.col("m") >= F.lit(similarity) * F.col("n") - 1e-9) & (_odd("sketch", "other") <= most_odd_bits(similarity)))
+        (F.col("m") >= F.lit(similarity) * F.col("n") - 1e-9) & (F.col("n") - F.col("place") >= shared)
+        & (F.col("m") - F.col("other_place") >= shared) & (_odd("sketch", "other") <= most_odd_bits(similarity))
+        & (_odd("parity", "other_parity", PARITY_BITS) <= F.col("n") + F.col("m") - 2 * shared))
     return tried(edges, stored(last.select("node", "pivot").distinct(), "near-last"))
 
 
@@ -281,7 +318,12 @@ def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY
     Rows whose text no other row has or resembles are passed through; only the others meet the verdicts.
     """
     found = stored(classes(signatures(docs, words)), "near-classes")
-    roots = components(near_links(found, docs, words, similarity))
+    return survivors(docs, found, near_links(found, docs, words, similarity))
+
+
+def survivors(docs: DataFrame, found: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay by ``links`` between the classes ``found`` of its texts; see ``keep_one``."""
+    roots = components(links)
     rooted = stored(found.select("node", "k1", "k2", "first", "copies").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")), "near-roots")
     best = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "node")).alias("best")

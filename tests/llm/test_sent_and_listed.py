@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from rillstream.llm import toxicity
+from rillstream.llm import minhash, toxicity
 
 
 def test_words_are_looked_up_at_once():
@@ -29,3 +29,13 @@ def test_sent_model_holds_only_what_scores_need(spark):
     assert set(sent.__dict__) == {"words", "single", "stands", "size", "standing", "weight", "pairs", "pair"}
     # seldom words stand as their stems: their own entries are not sent
     assert len(sent.standing) == len(sent.weight) == sent.size == len(np.unique(sent.stands)) < len(sent.words) / 2
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(1)
+    for n in (3, 150, 5000):
+        a, b = (rng.integers(0, 1 << 63, n, np.uint64) for _ in range(2))
+        both = rng.integers(0, 1 << 63, n, np.uint64)
+        x, y = (np.array(minhash.parities(np.unique(np.concatenate([both, z]))), np.int64).view(np.uint64) for z in (a, b))
+        odd = sum(int(v).bit_count() for v in x ^ y)
+        assert len(x) == minhash.PARITY_BITS // 64 and 0 < odd <= 2 * n
