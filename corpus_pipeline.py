@@ -29,7 +29,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by a five-word similarity of 0.8 the one with the smallest doc_id stays."""
+    """Of each group of documents linked by a five-word similarity of 0.8 the one with the smallest doc_id stays.
+
+    SimHash fingerprints give the first candidates, MinHash bands those that differ in more bits; all are confirmed on whole sets.
+    """
     return simhash.keep_one(docs, words=5, similarity=0.8)
 
 

@@ -28,6 +28,15 @@ SHINGLE_WORDS = 3
 SEED = 42
 
 
+def of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes, as a signed 64-bit number: a bit is set if it is set in over half of them."""
+    ones = np.zeros(BITS, np.int64)
+    for block in range(0, len(hashes), 1 << 15):
+        part = hashes[block:block + (1 << 15)].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int:
     """SimHash of the word shingles of a text (A-Z lower-cased), as a signed 64-bit number.
 
@@ -44,13 +53,7 @@ def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int
     starts = [0, *(end + 1 for end in ends[:-1])]
     last = ends[words_per_shingle - 1:] or ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, last)), "<u8", len(last))
-    ones = np.zeros(BITS, np.int64)
-    for block in range(0, len(hashes), 1 << 15):
-        part = hashes[block:block + (1 << 15)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    value = int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
-    return value - (1 << BITS) if value >> (BITS - 1) else value
+    return of_hashes(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, last)), "<u8", len(last)))
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
@@ -127,8 +130,24 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
 
 
 def keep_one(docs: DataFrame, words: int = minhash.WORDS, similarity: float = minhash.SIMILARITY) -> DataFrame:
-    """One row of each group of near copies, by the similarity of word shingles: see ``minhash.keep_one``."""
-    return minhash.keep_one(docs, words, similarity)
+    """One row of each group of near copies, with the columns of ``docs`` (doc_id, text, anything else).
+
+    Texts whose fingerprints of ``words``-word shingles differ in RADIUS bits at most are compared on their whole shingle sets and
+    linked at the similarity. Alike texts may differ in more bits than tables can cover; MinHash bands find these among what is
+    not linked yet. Which row of a group stays, ``minhash.keep_one`` says.
+    """
+    found = stored(minhash.classes(minhash.signatures(docs, words, of_hashes)), "simhash-classes")
+    return minhash.survivors(docs, found, minhash.near_links(found, docs, words, similarity, close(found)))
+
+
+def close(found: DataFrame) -> DataFrame:
+    """Pairs (node, pivot) of ``found`` (node, n, fp) that connect the classes with words whose fingerprints differ in RADIUS bits at most."""
+    spoken = found.where("n > 0")
+    prints = stored(spoken.groupBy("fp").agg(F.min("node").alias("pivot")), "simhash-prints")
+    same = spoken.select("node", "fp").join(prints, "fp").where("node <> pivot").select("node", "pivot")
+    one = prints.select(F.col("fp").alias("a"), F.col("pivot").alias("node"))
+    near = links(prints.select("fp")).join(one, "a").join(prints.withColumnRenamed("fp", "b"), "b")
+    return same.union(near.select("node", "pivot"))
 
 
 def hexadecimal(fp: Column) -> Column:
