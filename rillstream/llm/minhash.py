@@ -182,6 +182,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Data
 
     texts = docs.select("text", keys(F.col("text")).alias("key")).select("text", "key.*").join(
         bounded(wanted), ["k1", "k2"]).select("node", "text")
+    # two Python functions in a stage would keep two workers for each core
+    texts = stored(texts, "near-texts")
     # copies in a partition give one row; their sets are the same
     return texts.mapInArrow(per_slice(run, pa.schema(fields)), "node long, hashes array<long>, parity array<long>").groupBy("node").agg(
         F.first("hashes").alias("hashes"), F.first("parity").alias("parity"))

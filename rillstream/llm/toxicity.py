@@ -39,6 +39,8 @@ REACH = 3.0
 NEUTRAL = 10
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 FLUSH = 1 << 16
+#: Words that ``numbered`` holds as Python objects at a time (one longer text goes alone).
+PORTION = 1 << 16
 _BLANK = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c in range(256))
 RARE = 0
 #: Leading characters of a word that words without labels are grouped by.
@@ -63,8 +65,17 @@ def numbered(vocabulary: pa.Array, texts: list[str | None]) -> list[np.ndarray]:
 
     Ids are places in ``vocabulary`` from 1 on. Arrow looks all words up at once, so a task holds no dictionary of them.
     """
-    said = [words_of(text) for text in texts]
-    distinct = pa.array([word for words in said for word in words], pa.binary()).dictionary_encode()
+    ends, parts, held = [], [], []
+    for text in texts:
+        held += words_of(text)
+        ends.append(len(held) + sum(map(len, parts)))
+        if len(held) > PORTION:  # words as Python objects take several times the text
+            parts.append(pa.array(held, pa.binary()))
+            held = []
+    parts.append(pa.array(held, pa.binary()))
+    del held
+    distinct = pa.concat_arrays(parts).dictionary_encode()
+    del parts
     ids = pc.index_in(distinct.dictionary, value_set=vocabulary)
     missing = distinct.dictionary.filter(ids.is_null())
     ids = ids.to_numpy(zero_copy_only=False)
@@ -73,7 +84,7 @@ def numbered(vocabulary: pa.Array, texts: list[str | None]) -> list[np.ndarray]:
         ids = ids.astype(np.float64)
         ids[np.isnan(ids)] = pc.fill_null(pc.index_in(stems, value_set=vocabulary), RARE - 1).to_numpy()
     every = ids.astype(np.int64)[distinct.indices.to_numpy()] + 1
-    return np.split(every, np.cumsum([len(words) for words in said])[:-1]) if said else []
+    return np.split(every, ends[:-1]) if ends else []
 
 
 def fold(doc_id: str) -> Column:
